@@ -27,73 +27,67 @@ def with_tokens(rows: DataFrame, unicode: bool = True) -> DataFrame:
     ).withColumn("_predicted", tokens(F.coalesce("prediction", F.lit("")), unicode))
 
 
-def _grams(side: str, n: int) -> Column:
-    return ngrams(F.col(side), n)
+def overlap_counts(
+    rows: DataFrame, orders: range = range(1, BLEU_ORDER + 1), unicode: bool = True
+) -> DataFrame:
+    """Per row ``hits<n>`` (clipped matches), ``predicted<n>``, ``expected<n>`` n-grams."""
+    ready = with_tokens(rows, unicode)
+
+    def total(side: str, n: int) -> Column:
+        return F.greatest(F.size(side) - (n - 1), F.lit(0))
 
+    counts = {}
+    for n in orders:
+        sides = ngrams(F.col("_predicted"), n), ngrams(F.col("_expected"), n)
+        counts[f"hits{n}"] = clipped_overlap(*sides)
+        counts[f"predicted{n}"] = total("_predicted", n)
+        counts[f"expected{n}"] = total("_expected", n)
+    return ready.select("*", *(c.alias(name) for name, c in counts.items()))
 
-def _total(side: str, n: int) -> Column:
-    return F.greatest(F.size(side) - (n - 1), F.lit(0))
 
+def _rouge(n: int) -> Column:
+    return f_measure(F.col(f"hits{n}"), F.col(f"predicted{n}"), F.col(f"expected{n}"))
 
-def _hits(n: int) -> Column:
-    return clipped_overlap(_grams("_predicted", n), _grams("_expected", n))
+
+def _with_longest(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("_lcs", lcs_length()("_expected", "_predicted"))
 
 
 def rouge_scores(rows: DataFrame, unicode: bool = True, longest: bool = True) -> DataFrame:
     """ROUGE-1 and ROUGE-2 F1 per row, and ROUGE-L unless ``longest`` is off."""
-    ready = with_tokens(rows, unicode)
-    scores = {
-        f"rouge{n}": f_measure(_hits(n), _total("_predicted", n), _total("_expected", n))
-        for n in (1, 2)
-    }
+    counted = overlap_counts(rows, range(1, 3), unicode)
+    scores = [_rouge(1).alias("rouge1"), _rouge(2).alias("rouge2")]
     if longest:
-        ready = ready.withColumn("_lcs", lcs_length()("_expected", "_predicted"))
-        scores["rougeL"] = f_measure(F.col("_lcs"), F.size("_predicted"), F.size("_expected"))
-    return ready.select(*rows.columns, *(c.alias(n) for n, c in scores.items()))
+        counted = _with_longest(counted)
+        scores.append(f_measure(F.col("_lcs"), *map(F.col, _LENGTHS)).alias("rougeL"))
+    return counted.select(*rows.columns, *scores)
 
 
-def rouge(
-    rows: DataFrame, by: list[str] | None = None, unicode: bool = True, longest: bool = True
-) -> DataFrame:
-    """Mean ROUGE F1 over the rows."""
-    names = ["rouge1", "rouge2"] + (["rougeL"] if longest else [])
-    scored = rouge_scores(rows, unicode, longest)
-    return scored.groupBy(*(by or [])).agg(
-        *(F.coalesce(F.avg(n), F.lit(0.0)).alias(n) for n in names)
-    )
+_LENGTHS = ("predicted1", "expected1")
+
+
+def _mean(score: Column) -> Column:
+    return F.coalesce(F.avg(score), F.lit(0.0))
+
 
+def bleu_of_sums() -> Column:
+    """Corpus BLEU from the summed ``hits<n>``, ``predicted<n>`` and ``expected1``.
 
-def bleu_counts(rows: DataFrame, unicode: bool = True) -> DataFrame:
-    """Per row: clipped matches and n-grams for n = 1..4, and both lengths."""
+    Without smoothing: 0 if some n-gram order has no match.
+    """
     orders = range(1, BLEU_ORDER + 1)
-    return with_tokens(rows, unicode).select(
-        *rows.columns,
-        *(_hits(n).alias(f"hits{n}") for n in orders),
-        *(_total("_predicted", n).alias(f"grams{n}") for n in orders),
-        F.size("_predicted").alias("predicted_length"),
-        F.size("_expected").alias("expected_length"),
-    )
+    logs = [F.log(F.sum(f"hits{n}") / F.sum(f"predicted{n}")) for n in orders]
+    predicted, expected = (F.sum(c) for c in _LENGTHS)
+    penalty = F.when(predicted > expected, F.lit(0.0)).otherwise(1 - expected / predicted)
+    matched = F.least(*(F.sum(f"hits{n}") for n in orders)) > 0
+    mean_log = sum(logs[1:], logs[0]) / BLEU_ORDER
+    return F.when(matched, F.exp(penalty + mean_log)).otherwise(0.0)
 
 
 def bleu(rows: DataFrame, by: list[str] | None = None, unicode: bool = True) -> DataFrame:
-    """Corpus BLEU in [0, 1] without smoothing: 0 if some n-gram order has no match."""
-    orders = range(1, BLEU_ORDER + 1)
-    names = [f"{part}{n}" for n in orders for part in ("hits", "grams")]
-    sums = (
-        bleu_counts(rows, unicode)
-        .groupBy(*(by or []))
-        .agg(*(F.sum(n).alias(n) for n in names + ["predicted_length", "expected_length"]))
-    )
-    precisions = [F.log(F.col(f"hits{n}") / F.col(f"grams{n}")) for n in orders]
-    mean_log = sum(precisions[1:], precisions[0]) / BLEU_ORDER
-    longer = F.col("predicted_length") > F.col("expected_length")
-    penalty = F.when(longer, F.lit(0.0)).otherwise(
-        1 - F.col("expected_length") / F.col("predicted_length")
-    )
-    matched = F.least(*(F.col(f"hits{n}") for n in orders)) > 0
-    return sums.select(
-        *(by or []),
-        F.when(matched, F.exp(penalty + mean_log)).otherwise(0.0).alias("bleu"),
+    """Corpus BLEU in [0, 1]."""
+    return overlap_counts(rows, unicode=unicode).groupBy(*(by or [])).agg(
+        bleu_of_sums().alias("bleu")
     )
 
 
@@ -103,15 +97,24 @@ def text_metrics(
     by: list[str] | None = None,
     unicode: bool = True,
 ) -> DataFrame:
-    """``metric, value`` (per ``by``): rouge1, rouge2, rougeL and bleu as asked for."""
-    parts = []
+    """``metric, value`` (per ``by``): rouge1, rouge2, rougeL and bleu as asked for.
+
+    All of them come from one pass over the rows.
+    """
+    if not set(metrics) & set(TEXT_METRICS):
+        raise ValueError(f"metrics must name some of {TEXT_METRICS}")
+    top = BLEU_ORDER if "bleu" in metrics else 2
+    counted, wanted = overlap_counts(rows, range(1, top + 1), unicode), []
     if "rouge" in metrics:
-        parts.append(to_long(rouge(rows, by, unicode), by))
+        counted = _with_longest(counted)
+        wanted += [
+            _mean(_rouge(1)).alias("rouge1"),
+            _mean(_rouge(2)).alias("rouge2"),
+            _mean(f_measure(F.col("_lcs"), *map(F.col, _LENGTHS))).alias("rougeL"),
+        ]
     if "bleu" in metrics:
-        parts.append(to_long(bleu(rows, by, unicode), by))
-    if not parts:
-        raise ValueError(f"metrics must name some of {TEXT_METRICS}")
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        wanted.append(bleu_of_sums().alias("bleu"))
+    return to_long(counted.groupBy(*(by or [])).agg(*wanted), by)
 
 
 def to_long(wide: DataFrame, by: list[str] | None = None) -> DataFrame:
