@@ -6,13 +6,14 @@ import re
 
 from pyspark.sql import Column, functions as F
 
+from sparkprep.functions.bind import bind
 from sparkprep.functions.text import WHITESPACE, is_blank, strip
 
 JOINER = "\n\n"
 
-# Chunks are gathered in pages of this many, so that appending one to a long document's
-# list copies a page and not the whole list.
-PAGE = 128
+# A fold copies its whole state in each step, so the list of finished chunks must not be
+# part of a long fold. Paragraphs are folded in blocks, and the blocks are folded in turn.
+BLOCK = 32
 
 
 def paragraphs(text: Column, separator: str = "\n\n") -> Column:
@@ -33,6 +34,27 @@ def _cut(pieces: Column, width: int) -> Column:
     )
 
 
+def _blocks(pieces: Column) -> Column:
+    """Cut a list into about as many blocks as a block has entries, of at least BLOCK."""
+
+    def cut(items: Column) -> Column:
+        width = F.greatest(F.lit(BLOCK), F.ceil(F.sqrt(F.size(items))).cast("int"))
+        return bind(
+            width,
+            lambda w: F.transform(
+                F.sequence(F.lit(0), F.floor((F.size(items) - 1) / w).cast("int")),
+                lambda i: F.slice(items, i * w + 1, w),
+            ),
+        )
+
+    return bind(
+        pieces,
+        lambda items: F.when(F.size(items) > 0, cut(items)).otherwise(
+            F.array().cast("array<array<string>>")
+        ),
+    )
+
+
 def chunk_text(
     text: Column,
     chunk_size: int = 1000,
@@ -63,25 +85,17 @@ def chunk_text(
     def finished(running: Column) -> Column:
         return F.rtrim(running, F.lit(WHITESPACE)) if split_long else strip(running)
 
-    texts, no_texts = "array<string>", F.array().cast("array<string>")
-    start = F.struct(
-        F.array().cast("array<array<string>>").alias("full"),
-        no_texts.alias("page"),
-        F.lit("").alias("running"),
-        F.lit(0).alias("size"),
-    )
+    no_texts = F.array().cast("array<string>")
 
-    def state(full: Column, page: Column, running: Column, size: Column) -> Column:
-        return F.struct(
-            full.alias("full"), page.alias("page"), running.alias("running"), size.alias("size")
-        )
+    def state(chunks: Column, running: Column, size: Column) -> Column:
+        return F.struct(chunks.alias("chunks"), running.alias("running"), size.alias("size"))
 
     def add(now: Column, piece: Column) -> Column:
         grown = F.length(piece) + len(JOINER)
         must_close = (now["size"] + F.length(piece) > chunk_size) & (
             now["size"] >= (1 if split_long else min_length)
         )
-        page = F.concat(now["page"], F.array(finished(now["running"])))
+        chunks = F.concat(now["chunks"], F.array(finished(now["running"])))
         if overlap <= 0:
             carry, carry_size = F.lit(""), F.lit(0)
         else:
@@ -89,27 +103,30 @@ def chunk_text(
             carry = F.concat(F.right(source, F.lit(overlap)), F.lit(JOINER))
             source_size = F.length(source) if split_long else now["size"]
             carry_size = F.least(source_size, F.lit(overlap)) + len(JOINER)
-        running, size = F.concat(carry, piece, F.lit(JOINER)), carry_size + grown
-        return (
-            F.when(
-                must_close & (F.size(now["page"]) >= PAGE),
-                state(F.concat(now["full"], F.array(page)), no_texts, running, size),
-            )
-            .when(must_close, state(now["full"], page, running, size))
-            .otherwise(
-                state(
-                    now["full"],
-                    now["page"],
-                    F.concat(now["running"], piece, F.lit(JOINER)),
-                    now["size"] + grown,
-                )
+        return F.when(
+            must_close, state(chunks, F.concat(carry, piece, F.lit(JOINER)), carry_size + grown)
+        ).otherwise(
+            state(
+                now["chunks"],
+                F.concat(now["running"], piece, F.lit(JOINER)),
+                now["size"] + grown,
             )
         )
 
+    def add_block(now: Column, block: Column) -> Column:
+        """Fold a block into a list of its own and append that list."""
+        start = state(no_texts, now["running"], now["size"])
+        return bind(
+            F.aggregate(block, start, add),
+            lambda done: state(
+                F.concat(now["chunks"], done["chunks"]), done["running"], done["size"]
+            ),
+        )
+
     def close(now: Column) -> Column:
         rest = F.when(
             now["size"] >= min_length, F.array(finished(now["running"]))
         ).otherwise(no_texts)
-        return F.concat(F.flatten(now["full"]), now["page"], rest).cast(texts)
+        return F.concat(now["chunks"], rest)
 
-    return F.aggregate(pieces, start, add, close)
+    return F.aggregate(_blocks(pieces), state(no_texts, F.lit(""), F.lit(0)), add_block, close)

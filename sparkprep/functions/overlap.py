@@ -14,8 +14,8 @@ UNICODE = r"[^\p{L}\p{N}]+"
 
 def tokens(text: Column, unicode: bool = True) -> Column:
     """Lower-case tokens. Without ``unicode`` only a-z and 0-9 make up tokens."""
-    parts = F.split(F.lower(text), UNICODE if unicode else LATIN)
-    return F.filter(parts, lambda t: t != "")
+    spaced = F.regexp_replace(F.lower(text), UNICODE if unicode else LATIN, " ")
+    return F.array_remove(F.split(spaced, " "), "")
 
 
 def ngrams(token_list: Column, n: int) -> Column:
@@ -37,8 +37,25 @@ def ngrams(token_list: Column, n: int) -> Column:
 def clipped_overlap(left: Column, right: Column) -> Column:
     """Size of the multiset intersection of two string arrays.
 
-    Both sides are tagged, sorted together and read once: equal strings stand next to
-    each other, and each run adds the smaller of its two counts.
+    The intersection of the distinct strings counts each shared one once. What occurs
+    again, usually a small part, is intersected as multisets.
+    """
+    return F.size(F.array_intersect(left, right)) + _repeats_in_common(
+        _repeats(left), _repeats(right)
+    )
+
+
+def _repeats(items: Column) -> Column:
+    """Every occurrence of a string but its first."""
+    return bind(
+        F.sort_array(items), lambda s: F.filter(s, lambda v, i: v == F.get(s, i - 1))
+    )
+
+
+def _repeats_in_common(left: Column, right: Column) -> Column:
+    """Both sides are tagged, sorted together and read once.
+
+    Equal strings stand next to each other; each run adds the smaller of its counts.
     """
 
     def tagged(items: Column, l: int, r: int) -> Column:
@@ -46,36 +63,21 @@ def clipped_overlap(left: Column, right: Column) -> Column:
             items, lambda s: F.struct(s.alias("s"), F.lit(l).alias("l"), F.lit(r).alias("r"))
         )
 
-    start = F.struct(
-        F.lit(None).cast("string").alias("s"),
-        F.lit(0).alias("l"),
-        F.lit(0).alias("r"),
-        F.lit(0).alias("hits"),
-    )
+    def state(s: Column, l: Column, r: Column, hits: Column) -> Column:
+        return F.struct(s.alias("s"), l.alias("l"), r.alias("r"), hits.alias("hits"))
 
-    def step(acc: Column, item: Column) -> Column:
-        return F.when(
-            acc["s"] == item["s"],
-            F.struct(
-                acc["s"].alias("s"),
-                (acc["l"] + item["l"]).alias("l"),
-                (acc["r"] + item["r"]).alias("r"),
-                acc["hits"].alias("hits"),
-            ),
-        ).otherwise(
-            F.struct(
-                item["s"].alias("s"),
-                item["l"].alias("l"),
-                item["r"].alias("r"),
-                (acc["hits"] + F.least(acc["l"], acc["r"])).alias("hits"),
-            )
+    def step(run: Column, item: Column) -> Column:
+        same = state(run["s"], run["l"] + item["l"], run["r"] + item["r"], run["hits"])
+        closed = run["hits"] + F.least(run["l"], run["r"])
+        return F.when(run["s"] == item["s"], same).otherwise(
+            state(item["s"], item["l"], item["r"], closed)
         )
 
     return F.aggregate(
         F.sort_array(F.concat(tagged(left, 1, 0), tagged(right, 0, 1))),
-        start,
+        state(F.lit(None).cast("string"), F.lit(0), F.lit(0), F.lit(0)),
         step,
-        lambda acc: acc["hits"] + F.least(acc["l"], acc["r"]),
+        lambda run: run["hits"] + F.least(run["l"], run["r"]),
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from sparkprep.functions.bind import bind
 from sparkprep.functions.hashing import pick
 
 # The characters that count as white space in text.
@@ -51,14 +52,18 @@ def is_blank(text: Column) -> Column:
     return ~text.rlike(NOT_WHITESPACE)
 
 
-def words(text: Column, at_most: int | None = None) -> Column:
-    """White-space separated words; with ``at_most`` only the first ones are cut out.
+def collapse(text: Column) -> Column:
+    """The words of ``text`` with one blank between them."""
+    return F.trim(F.regexp_replace(text, WHITESPACE_RUN, " "))
 
-    Blank text has no words.
+
+def words(text: Column) -> Column:
+    """White-space separated words; blank text has none.
+
+    Runs are replaced first: a constant pattern is compiled once there, but for each row
+    in ``split``, which is quick only for a single plain character.
     """
-    limit = -1 if at_most is None else at_most + 1
-    parts = F.filter(F.split(strip(text), WHITESPACE_RUN, limit), lambda w: w != "")
-    return parts if at_most is None else F.slice(parts, 1, at_most)
+    return F.array_remove(F.split(collapse(text), " "), "")
 
 
 def first_sentence(text: Column) -> Column:
@@ -67,17 +72,19 @@ def first_sentence(text: Column) -> Column:
 
 
 def drop_leading_stopword(sentence: Column) -> Column:
-    """Drop the first word if it is a stopword; only then are the words joined anew."""
-    head = F.element_at(F.split(sentence, WHITESPACE_RUN, 2), 1)
-    rest = words(F.substring(sentence, F.length(head) + 1, F.length(sentence)))
-    return F.when(
-        F.lower(head).isin(*LEADING_STOPWORDS), F.array_join(rest, " ")
-    ).otherwise(sentence)
+    """Drop the first word of a stripped sentence if it is a stopword.
+
+    Only then are the remaining words joined anew.
+    """
+    head = F.regexp_extract(sentence, f"^{NOT_WHITESPACE}+", 0)
+    rest = F.substring(sentence, F.length(head) + 1, F.length(sentence))
+    return F.when(F.lower(head).isin(*LEADING_STOPWORDS), collapse(rest)).otherwise(sentence)
 
 
 def keywords(text: Column, count: int = KEYWORD_COUNT) -> Column:
     """The first ``count`` words, joined by one blank."""
-    return F.array_join(words(text, count), " ")
+    first = f"^(?:{NOT_WHITESPACE}+{WHITESPACE_RUN}){{0,{count - 1}}}{NOT_WHITESPACE}+"
+    return collapse(F.regexp_extract(strip(text), first, 0))
 
 
 def fill_template(templates: tuple[str, ...], subject: Column, key: Column) -> Column:
@@ -93,9 +100,8 @@ def fill_template(templates: tuple[str, ...], subject: Column, key: Column) -> C
 
 def question(chunk: Column, key: Column) -> Column:
     """A question about the first sentence of ``chunk``."""
-    return fill_template(
-        QUESTION_TEMPLATES, drop_leading_stopword(first_sentence(chunk)), key
-    )
+    subject = bind(first_sentence(chunk), drop_leading_stopword)
+    return fill_template(QUESTION_TEMPLATES, subject, key)
 
 
 def instruction(chunk: Column, key: Column) -> Column:
@@ -123,23 +129,6 @@ def prediction_content(prediction: Column) -> Column:
     return F.coalesce(F.get_json_object(prediction, "$.content"), prediction)
 
 
-def token_budget(
-    text: Column, max_length: int, padding: str = "<pad>"
-) -> tuple[Column, Column, Column]:
-    """(tokens, attention mask, labels) cut and padded to ``max_length`` words.
-
-    Labels repeat the tokens. A model tokenizer can be used instead through
-    :func:`sparkprep.operators.scoring.tokenize`.
-    """
-    kept = words(text, max_length)
-    missing = F.lit(max_length) - F.size(kept)
-    tokens = F.concat(kept, F.array_repeat(F.lit(padding), missing))
-    mask = F.concat(
-        F.array_repeat(F.lit(1), F.size(kept)), F.array_repeat(F.lit(0), missing)
-    )
-    return tokens, mask, tokens
-
-
 def context_preview(chunk: Column, length: int = 200) -> Column:
     """The start of a chunk, marked as cut when it is longer."""
     return F.when(

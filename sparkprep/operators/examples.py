@@ -42,6 +42,19 @@ def sample_chunks(
     return ranked.withColumn("kind", _kind(F.col("sample_rank"), sampled, qa_ratio))
 
 
+def _sampled(chunk_list: Column, per_document: int, seed: int, doc_id: str) -> Column:
+    """The chunks with the least keys, as ``array<struct<sample_key, chunk_index, chunk>>``."""
+    keyed = F.transform(
+        chunk_list,
+        lambda chunk, i: F.struct(
+            row_key(F.col(doc_id), i + 1, seed=seed).alias("sample_key"),
+            (i + 1).alias("chunk_index"),
+            chunk.alias("chunk"),
+        ),
+    )
+    return F.slice(F.sort_array(keyed), 1, per_document)
+
+
 def sample_chunk_lists(
     documents: DataFrame,
     chunk_list: Column,
@@ -54,16 +67,8 @@ def sample_chunk_lists(
 
     Same result, but inside the row and so without any shuffle.
     """
-    keyed = F.transform(
-        chunk_list,
-        lambda chunk, i: F.struct(
-            row_key(F.col(doc_id), i + 1, seed=seed).alias("sample_key"),
-            (i + 1).alias("chunk_index"),
-            chunk.alias("chunk"),
-        ),
-    )
     rows = bind(
-        F.slice(F.sort_array(keyed), 1, per_document),
+        _sampled(chunk_list, per_document, seed, doc_id),
         lambda sampled: F.transform(
             sampled,
             lambda s, i: F.struct(
@@ -78,14 +83,48 @@ def sample_chunk_lists(
     return documents.select(doc_id, F.inline(rows))
 
 
+def _input_text(kind: Column, chunk: Column, key: Column) -> Column:
+    return F.when(kind == QA, question(chunk, key)).otherwise(instruction(chunk, key))
+
+
 def make_examples(sampled: DataFrame) -> DataFrame:
     """``input_text`` (question or instruction) and ``output_text`` (the chunk)."""
     chunk, key = F.col("chunk"), F.col("sample_key")
-    built = F.when(F.col("kind") == QA, question(chunk, key)).otherwise(instruction(chunk, key))
+    built = _input_text(F.col("kind"), chunk, key)
     kept = [c for c in sampled.columns if c not in ("chunk", "sample_key", "sample_rank")]
     return sampled.select(*kept, built.alias("input_text"), chunk.alias("output_text"))
 
 
+def example_lists(
+    documents: DataFrame,
+    chunk_list: Column,
+    per_document: int = 10,
+    qa_ratio: float = 0.5,
+    seed: int = 0,
+    doc_id: str = "doc_id",
+) -> DataFrame:
+    """:func:`make_examples` of :func:`sample_chunk_lists`, built inside the row.
+
+    A filter on the texts then reads finished columns. Built outside, Spark would work
+    out the texts once for the filter and again for the result.
+    """
+    rows = bind(
+        _sampled(chunk_list, per_document, seed, doc_id),
+        lambda sampled: F.transform(
+            sampled,
+            lambda s, i: F.struct(
+                s["chunk_index"].alias("chunk_index"),
+                _kind(i + 1, F.size(sampled), qa_ratio).alias("kind"),
+                _input_text(
+                    _kind(i + 1, F.size(sampled), qa_ratio), s["chunk"], s["sample_key"]
+                ).alias("input_text"),
+                s["chunk"].alias("output_text"),
+            ),
+        ),
+    )
+    return documents.select(doc_id, F.inline(rows))
+
+
 def is_valid(
     min_input: int = 10,
     max_input: int = 1024,

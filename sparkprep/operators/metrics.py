@@ -36,13 +36,21 @@ def overlap_counts(
     def total(side: str, n: int) -> Column:
         return F.greatest(F.size(side) - (n - 1), F.lit(0))
 
+    # The n-grams get columns of their own: the overlap reads them more than once.
+    gram_lists = {
+        f"{side}{n}": ngrams(F.col(side), n)
+        for n in orders
+        if n > 1
+        for side in ("_predicted", "_expected")
+    }
     counts = {}
     for n in orders:
-        sides = ngrams(F.col("_predicted"), n), ngrams(F.col("_expected"), n)
-        counts[f"hits{n}"] = clipped_overlap(*sides)
+        sides = ("_predicted", "_expected") if n == 1 else (f"_predicted{n}", f"_expected{n}")
+        counts[f"hits{n}"] = clipped_overlap(*map(F.col, sides))
         counts[f"predicted{n}"] = total("_predicted", n)
         counts[f"expected{n}"] = total("_expected", n)
-    return ready.select("*", *(c.alias(name) for name, c in counts.items()))
+    listed = ready.select("*", *(c.alias(name) for name, c in gram_lists.items()))
+    return listed.select(*ready.columns, *(c.alias(name) for name, c in counts.items()))
 
 
 def _rouge(n: int) -> Column:

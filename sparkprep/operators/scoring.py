@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from sparkprep.functions.text import words
+
 PAGE_TYPE = "array<struct<page_no:int,text:string>>"
 
 
@@ -76,14 +78,39 @@ def quarantine(extracted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, extracted.filter(F.col("error").isNotNull()).select("path", "error")
 
 
+def pad_tokens(rows: DataFrame, tokens: str, max_length: int, padding) -> DataFrame:
+    """Replace array column ``tokens`` by ``input_ids, attention_mask, labels``.
+
+    All have ``max_length`` entries; labels repeat the ids.
+    """
+    kept = F.slice(tokens, 1, max_length)
+    missing = F.lit(max_length) - F.size(kept)
+    ids = F.concat(kept, F.array_repeat(F.lit(padding), missing))
+    mask = F.concat(F.array_repeat(F.lit(1), F.size(kept)), F.array_repeat(F.lit(0), missing))
+    return rows.select(
+        *(c for c in rows.columns if c != tokens),
+        ids.alias("input_ids"),
+        mask.alias("attention_mask"),
+        ids.alias("labels"),
+    )
+
+
+def token_budget(
+    texts: DataFrame, max_length: int, text: str = "text", padding: str = "<pad>"
+) -> DataFrame:
+    """White-space tokens of each text, cut and padded; see :func:`pad_tokens`."""
+    cut = F.slice(words(F.col(text)), 1, max_length)
+    return pad_tokens(texts.withColumn("_tokens", cut), "_tokens", max_length, padding)
+
+
 def tokenize(
     texts: DataFrame,
     load: Callable[[], Callable[[list[str]], list[list[int]]]],
     max_length: int,
-    pad_id: int = 0,
+    padding: int = 0,
     text: str = "text",
 ) -> DataFrame:
-    """Add ``input_ids, attention_mask, labels`` of length ``max_length``.
+    """:func:`token_budget` with the ids of a tokenizer.
 
     Cutting and padding stay in Spark; only the tokenizer itself runs in Python.
     """
@@ -91,18 +118,8 @@ def tokenize(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = load()
         for batch in batches:
-            yield batch.assign(_ids=encode(batch[text].tolist()))
+            yield batch.assign(_tokens=encode(batch[text].tolist()))
 
-    schema = T.StructType(
-        texts.schema.fields + [T.StructField("_ids", T.ArrayType(T.IntegerType()))]
-    )
-    kept = F.slice("_ids", 1, max_length)
-    missing = F.lit(max_length) - F.size(kept)
-    ids = F.concat(kept, F.array_repeat(F.lit(pad_id), missing))
-    mask = F.concat(F.array_repeat(F.lit(1), F.size(kept)), F.array_repeat(F.lit(0), missing))
-    return texts.mapInPandas(run, schema).select(
-        *texts.columns,
-        ids.alias("input_ids"),
-        mask.alias("attention_mask"),
-        ids.alias("labels"),
-    )
+    ids = T.StructField("_tokens", T.ArrayType(T.IntegerType()))
+    encoded = texts.mapInPandas(run, T.StructType(texts.schema.fields + [ids]))
+    return pad_tokens(encoded, "_tokens", max_length, padding)

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkprep.functions.chunks import chunk_text
 from sparkprep.functions.hashing import pick, row_key
-from sparkprep.operators.examples import make_examples, sample_chunk_lists
+from sparkprep.operators.examples import example_lists, sample_chunk_lists
 from sparkprep.operators.monitoring import prediction_log
 from sparkprep.operators.structure import pages_of
-from sparkprep.plans.staging import table
+from sparkprep.plans.staging import spread, table
 
 # The documents have no blank lines; a line is a paragraph, and a page where pages matter.
 SEPARATOR = "\n"
@@ -28,7 +28,7 @@ class Inputs:
         return table(self.spark, self.data_dir, name)
 
     def documents(self) -> DataFrame:
-        return self.table("documents").select("doc_id", "text")
+        return spread(self.table("documents").select("doc_id", "text"), "doc_id")
 
     def chunk_list(self) -> Column:
         return chunk_text(F.col("text"), separator=SEPARATOR)
@@ -42,11 +42,11 @@ class Inputs:
 
     def examples(self) -> DataFrame:
         """All sampled examples, the invalid ones too."""
-        return make_examples(self.sampled())
+        return example_lists(self.documents(), self.chunk_list())
 
     def files(self) -> DataFrame:
         """Each document as a file: ``path, length, content``."""
-        docs = self.table("documents").select("doc_id", "source", "text")
+        docs = spread(self.table("documents").select("doc_id", "source", "text"), "doc_id")
         content = F.encode("text", "UTF-8")
         path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), "doc_id", F.lit(".pdf"))
         return docs.select(
@@ -62,9 +62,9 @@ class Inputs:
         answer = turns.filter(F.col("role") == "assistant").select(
             "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output")
         )
-        return user.join(answer, ["conv_id", "turn"]).select(
-            F.concat_ws("-", "conv_id", "turn").alias("id"), "input", "output"
-        )
+        keys = ["conv_id", "turn"]
+        pairs = spread(user, *keys).join(spread(answer, *keys), keys)
+        return pairs.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "input", "output")
 
     def outputs(self) -> DataFrame:
         """Turns with the outputs of two models: half of the words, and nine words in ten."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from sparkprep.functions.chunks import chunk_text
-from sparkprep.operators.examples import is_valid, make_examples, sample_chunk_lists
+from sparkprep.operators.examples import example_lists, is_valid
 from sparkprep.operators.splitting import split_exact
 from sparkprep.plans.staging import stage
 
@@ -24,10 +24,9 @@ def training_examples(
     of it is one pass over the documents without a shuffle. ``doc_id`` must identify a
     document.
     """
-    sampled = sample_chunk_lists(
-        documents, chunk_text(F.col("text"), **chunking), per_document, qa_ratio, seed
-    )
-    return make_examples(sampled).filter(is_valid(**(bounds or {})))
+    chunks = chunk_text(F.col("text"), **chunking)
+    examples = example_lists(documents, chunks, per_document, qa_ratio, seed)
+    return examples.filter(is_valid(**(bounds or {})))
 
 
 def prepare_training_data(

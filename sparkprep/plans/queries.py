@@ -233,7 +233,7 @@ def gen_instruction(i: Inputs) -> DataFrame:
 
 @query
 def make_examples(i: Inputs) -> DataFrame:
-    return i.examples()
+    return examples.make_examples(i.sampled())
 
 
 @query
@@ -254,12 +254,11 @@ def training_prompt(i: Inputs) -> DataFrame:
 
 @query
 def token_budget(i: Inputs) -> DataFrame:
-    tokens, mask, labels = T.token_budget(F.col("text"), 64)
-    return i.documents().select(
+    return scoring.token_budget(i.documents(), 64).select(
         "doc_id",
-        F.array_join(tokens, " ").alias("tokens"),
-        F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("kept"),
-        F.size(labels).alias("labels"),
+        F.array_join("input_ids", " ").alias("tokens"),
+        F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("kept"),
+        F.size("labels").alias("labels"),
     )
 
 

@@ -28,6 +28,22 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
+SPLIT_BYTES = 128 * 1024 * 1024
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give every core a share of a scan that is too small to be cut into that many tasks.
+
+    For the input of costly row-wise work. A scan large enough for all cores, by Spark's
+    own estimate, is left as it is: at scale this adds no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(estimate) >= cores * SPLIT_BYTES:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for intermediate data.
 

@@ -65,10 +65,9 @@ def load_chunk_files(spark: SparkSession, path: str) -> DataFrame:
     is a number, so chunk 10 comes after chunk 2. Blank chunks are dropped.
     """
     files = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "chunk_*.txt")
-        .text(path)
+        .text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("chunk"))
     )
     folder = F.element_at(F.split("path", "/"), -2)

@@ -70,7 +70,7 @@ def question_list(document: Column) -> Column:
 
 def read_questions(spark: SparkSession, path: str) -> DataFrame:
     """``question`` rows of one or more question files."""
-    whole = spark.read.option("wholetext", "true").text(path)
+    whole = spark.read.text(path, wholetext=True)
     return whole.select(F.explode(question_list(F.col("value"))).alias("question"))
 
 
@@ -86,10 +86,9 @@ def parse_trainer_state(states: DataFrame, value: str = "value") -> DataFrame:
 def read_trainer_states(spark: SparkSession, path: str) -> DataFrame:
     """``trial, best_metric, log_history`` of ``trial_<n>/…/trainer_state.json`` files."""
     whole = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
+        spark.read.option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "trainer_state.json")
-        .text(path)
+        .text(path, wholetext=True)
     )
     trial = F.regexp_extract("_metadata.file_path", r"trial_(\d+)/", 1).try_cast("bigint")
     return parse_trainer_state(whole.select(trial.alias("trial"), "value"))

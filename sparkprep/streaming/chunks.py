@@ -10,9 +10,7 @@ from sparkprep.sources.files import file_stem
 
 def text_file_stream(spark: SparkSession, path: str, pattern: str = "*.txt") -> DataFrame:
     """``doc_id, text`` of whole text files as they are added below ``path``."""
-    files = (
-        spark.readStream.option("wholetext", "true").option("pathGlobFilter", pattern).text(path)
-    )
+    files = spark.readStream.option("pathGlobFilter", pattern).text(path, wholetext=True)
     return files.select(
         file_stem(F.col("_metadata.file_path")).alias("doc_id"), F.col("value").alias("text")
     )
