@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.operators import scoring
 from sparkprep.operators.structure import document_structure, pages_of
-from sparkprep.sources import files, jsonl, sinks
+from sparkprep.sources import files, jsonl, logs, sinks
 
 
 def test_jsonl_reading(spark, tmp_path):
@@ -139,3 +139,19 @@ def test_tokens_are_cut_and_padded(spark):
     assert rows[1].input_ids == [1, 0, 0] and rows[1].attention_mask == [1, 0, 0]
     plain = scoring.token_budget(df, 2).collect()
     assert plain[1].input_ids == ["x", "<pad>"] and plain[0].labels == ["a", "bb"]
+
+
+def test_log_table_prunes_days(spark, tmp_path):
+    log = spark.range(100).select(
+        F.col("id").alias("event_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("ts"),
+    )
+    path, schema = str(tmp_path / "log"), "event_id bigint, ts timestamp"
+    logs.append_log(log.filter("event_id < 50"), path)
+    logs.append_log(log.filter("event_id >= 50"), path)
+    found = logs.read_log(spark, path, schema, "2024-01-02 01:00:00", "2024-01-03 05:00:00")
+    assert sorted(r.event_id for r in found.collect()) == list(range(25, 54))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(ts)" in plan
+    arriving = logs.stream_log(spark, path, schema)
+    assert arriving.isStreaming and arriving.columns == ["event_id", "ts"]
