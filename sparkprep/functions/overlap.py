@@ -18,22 +18,31 @@ def tokens(text: Column, unicode: bool = True) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
-def ngrams(token_list: Column, n: int) -> Column:
+def ngrams(token_list: Column, n: int | Column) -> Column:
     """All n-grams in order, as text joined by one blank."""
-    if n == 1:
-        return token_list
+    width = F.lit(n) if isinstance(n, int) else n
     return bind(
         token_list,
         lambda t: F.when(
-            F.size(t) >= n,
+            F.size(t) >= width,
             F.transform(
-                F.sequence(F.lit(1), F.size(t) - (n - 1)),
-                lambda i: F.array_join(F.slice(t, i, n), " "),
+                F.sequence(F.lit(1), F.size(t) - width + 1),
+                lambda i: F.array_join(F.slice(t, i, width), " "),
             ),
         ).otherwise(F.array().cast("array<string>")),
     )
 
 
+def ngram_overlaps(left: Column, right: Column, top: int) -> Column:
+    """``array<int>``: the clipped overlap of the n-grams for n = 1 to ``top``."""
+
+    def overlap(n: Column) -> Column:
+        sides = F.struct(ngrams(left, n).alias("l"), ngrams(right, n).alias("r"))
+        return bind(sides, lambda s: clipped_overlap(s["l"], s["r"]))
+
+    return F.transform(F.sequence(F.lit(1), F.lit(top)), overlap)
+
+
 def clipped_overlap(left: Column, right: Column) -> Column:
     """Size of the multiset intersection of two string arrays.
 

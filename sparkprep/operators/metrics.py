@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkprep.functions.overlap import clipped_overlap, f_measure, lcs_length, ngrams, tokens
+from sparkprep.functions.overlap import f_measure, lcs_length, ngram_overlaps, tokens
 from sparkprep.functions.text import strip
 
 TEXT_METRICS = ("rouge", "bleu")
@@ -27,30 +27,23 @@ def with_tokens(rows: DataFrame, unicode: bool = True) -> DataFrame:
     ).withColumn("_predicted", tokens(F.coalesce("prediction", F.lit("")), unicode))
 
 
-def overlap_counts(
-    rows: DataFrame, orders: range = range(1, BLEU_ORDER + 1), unicode: bool = True
-) -> DataFrame:
-    """Per row ``hits<n>`` (clipped matches), ``predicted<n>``, ``expected<n>`` n-grams."""
+def overlap_counts(rows: DataFrame, top: int = BLEU_ORDER, unicode: bool = True) -> DataFrame:
+    """Per row and n up to ``top``: ``hits<n>`` (clipped matches), ``predicted<n>`` and
+    ``expected<n>`` (n-grams)."""
     ready = with_tokens(rows, unicode)
+    hits = ngram_overlaps(F.col("_predicted"), F.col("_expected"), top)
 
     def total(side: str, n: int) -> Column:
         return F.greatest(F.size(side) - (n - 1), F.lit(0))
 
-    # The n-grams get columns of their own: the overlap reads them more than once.
-    gram_lists = {
-        f"{side}{n}": ngrams(F.col(side), n)
-        for n in orders
-        if n > 1
-        for side in ("_predicted", "_expected")
-    }
-    counts = {}
-    for n in orders:
-        sides = ("_predicted", "_expected") if n == 1 else (f"_predicted{n}", f"_expected{n}")
-        counts[f"hits{n}"] = clipped_overlap(*map(F.col, sides))
-        counts[f"predicted{n}"] = total("_predicted", n)
-        counts[f"expected{n}"] = total("_expected", n)
-    listed = ready.select("*", *(c.alias(name) for name, c in gram_lists.items()))
-    return listed.select(*ready.columns, *(c.alias(name) for name, c in counts.items()))
+    counts = []
+    for n in range(1, top + 1):
+        counts += [
+            F.get("_hits", F.lit(n - 1)).alias(f"hits{n}"),
+            total("_predicted", n).alias(f"predicted{n}"),
+            total("_expected", n).alias(f"expected{n}"),
+        ]
+    return ready.withColumn("_hits", hits).select(*ready.columns, *counts)
 
 
 def _rouge(n: int) -> Column:
@@ -63,7 +56,7 @@ def _with_longest(counted: DataFrame) -> DataFrame:
 
 def rouge_scores(rows: DataFrame, unicode: bool = True, longest: bool = True) -> DataFrame:
     """ROUGE-1 and ROUGE-2 F1 per row, and ROUGE-L unless ``longest`` is off."""
-    counted = overlap_counts(rows, range(1, 3), unicode)
+    counted = overlap_counts(rows, 2, unicode)
     scores = [_rouge(1).alias("rouge1"), _rouge(2).alias("rouge2")]
     if longest:
         counted = _with_longest(counted)
@@ -112,7 +105,7 @@ def text_metrics(
     if not set(metrics) & set(TEXT_METRICS):
         raise ValueError(f"metrics must name some of {TEXT_METRICS}")
     top = BLEU_ORDER if "bleu" in metrics else 2
-    counted, wanted = overlap_counts(rows, range(1, top + 1), unicode), []
+    counted, wanted = overlap_counts(rows, top, unicode), []
     if "rouge" in metrics:
         counted = _with_longest(counted)
         wanted += [
