@@ -48,12 +48,13 @@ def review_tasks(
     """``task_id, input_text, reference_output, model_outputs, evaluation_criteria``.
 
     ``examples`` has ``id, input, output`` and ``outputs`` has ``id, model, prediction``
-    with one row per model.
+    with one row per model; only ``models`` are taken.
     """
+    # One value per known model, so the state of a group does not grow with its rows.
+    answers = [F.min(F.when(F.col("model") == m, F.col("prediction"))) for m in models]
+    given = F.map_from_arrays(F.array(*map(F.lit, models)), F.array(*answers))
     by_model = outputs.groupBy("id").agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct("model", "prediction")))).alias(
-            "model_outputs"
-        )
+        F.map_filter(given, lambda _, answer: answer.isNotNull()).alias("model_outputs")
     )
     return examples.join(by_model, "id").select(
         F.col("id").alias("task_id"),

@@ -35,17 +35,6 @@ def pages_of(text: Column, separator: str = "\n") -> Column:
     )
 
 
-def collect_pages(pages: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """A table of pages to one row per document.
-
-    The one step here that shuffles; skip it when the parser already emits documents.
-    A document becomes one row, as the operators on its whole text need.
-    """
-    return pages.groupBy(doc_id).agg(
-        F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("pages")
-    )
-
-
 def assemble_pages(pages: Column) -> Column:
     """Page texts in order, empty pages left out, a blank line between pages."""
     texts = F.transform(pages, lambda p: p["text"])

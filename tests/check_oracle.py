@@ -21,6 +21,9 @@ def connect(data_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def normal(rows, columns):
     """Rows as sorted tuples with the columns in order of name."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
@@ -36,6 +39,10 @@ def compare(spark, connection, data_dir: str, name: str) -> str:
     want = normal(result.fetchall(), columns)
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    types = {c[0]: str(c[1]) for c in result.description}
+    wrong = {n: (t, types[n]) for n, t in df.dtypes if SQL_TYPES.get(t) != types[n]}
+    if wrong:
+        return f"types {wrong}"
     if len(got) != len(want):
         return f"{len(got)} rows != {len(want)} rows"
     for a, b in zip(got, want):
