@@ -9,7 +9,7 @@ from sparkprep.functions.hashing import pick, row_key
 from sparkprep.operators.examples import example_lists, sample_chunk_lists
 from sparkprep.operators.monitoring import prediction_log
 from sparkprep.operators.structure import pages_of
-from sparkprep.plans.staging import spread, table
+from sparkprep.plans.staging import table
 
 # The documents have no blank lines; a line is a paragraph, and a page where pages matter.
 SEPARATOR = "\n"
@@ -28,7 +28,7 @@ class Inputs:
         return table(self.spark, self.data_dir, name)
 
     def documents(self) -> DataFrame:
-        return spread(self.table("documents").select("doc_id", "text"), "doc_id")
+        return self.table("documents").select("doc_id", "text")
 
     def chunk_list(self) -> Column:
         return chunk_text(F.col("text"), separator=SEPARATOR)
@@ -46,7 +46,7 @@ class Inputs:
 
     def files(self) -> DataFrame:
         """Each document as a file: ``path, length, content``."""
-        docs = spread(self.table("documents").select("doc_id", "source", "text"), "doc_id")
+        docs = self.table("documents").select("doc_id", "source", "text")
         content = F.encode("text", "UTF-8")
         path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), "doc_id", F.lit(".pdf"))
         return docs.select(
@@ -63,7 +63,7 @@ class Inputs:
             "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output")
         )
         keys = ["conv_id", "turn"]
-        pairs = spread(user, *keys).join(spread(answer, *keys), keys)
+        pairs = user.join(answer, keys)
         return pairs.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "input", "output")
 
     def outputs(self) -> DataFrame:
@@ -163,9 +163,7 @@ class Inputs:
         )
 
     def stream(self, name: str) -> DataFrame:
-        """A table as a stream of files."""
-        return (
-            self.spark.readStream.schema(self.table(name).schema)
-            .option("pathGlobFilter", f"{name}.parquet")
-            .parquet(self.data_dir)
-        )
+        """A table as a stream of files, whether it is one file or a folder of part files."""
+        path = f"{self.data_dir}/{name}.parquet"
+        reader = self.spark.readStream.schema(self.table(name).schema)
+        return reader.option("pathGlobFilter", "*.parquet").parquet(path)

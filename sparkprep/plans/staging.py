@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,41 +28,23 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir}/{name}.parquet")
 
 
-SPLIT_BYTES = 128 * 1024 * 1024
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give every core a share of a scan that is too small to be cut into that many tasks.
-
-    For the input of costly row-wise work. A scan large enough for all cores, by Spark's
-    own estimate, is left as it is: at scale this adds no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(estimate) >= cores * SPLIT_BYTES:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names for intermediate data.
+    """The shared folder for intermediate data.
 
-    ``spark.checkpoint.dir`` is read from the session. Only a local session without it
-    gets a temporary folder; executors of a cluster could not see one.
+    The session names it in ``spark.checkpoint.dir``. Where that is unset, the warehouse
+    serves, which every session has and which executors reach as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = os.path.join(tempfile.gettempdir(), f"sparkprep-{os.getpid()}")
-    os.makedirs(folder, exist_ok=True)
-    return folder
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A new path below :func:`staging_root`; no two calls share one."""
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _STAGED:
+        atexit.register(_clear)
+    _STAGED[path] = spark
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -71,9 +52,32 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
     For a result that is costly and read several times. Against a cache it survives the
     loss of executors and cuts the lineage; against a checkpoint it is columnar, so later
-    passes read only the columns they need.
+    passes read only the columns they need. The files go when the application ends, or
+    earlier by :func:`unstage`.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(df: DataFrame) -> None:
+    """Delete the files below a result of :func:`stage` that nothing will read again."""
+    for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        _delete(df.sparkSession, path)
+
+
+_STAGED: dict[str, SparkSession] = {}
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Delete a staged path on whatever file system it lies."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    _STAGED.pop(path, None)
+
+
+def _clear() -> None:
+    for path, spark in list(_STAGED.items()):
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, path)
