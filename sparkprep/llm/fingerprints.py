@@ -161,7 +161,8 @@ def exact_groups(documents: DataFrame, *, id: str = "doc_id", text: str = "text"
     several = stage(prints.groupBy(*KEYS).agg(*own).filter("group_size > 1"), "print-classes")
     hot = F.broadcast(hot_classes(several, total).select(*KEYS, "shards"))
 
-    # The representative goes to every part of its class, any other member to one.
+    # The representative goes to every part of its class, any other member to one. The hint
+    # keeps the join the same at every size: the classes grow with the documents.
     parts = F.coalesce("shards", F.lit(1))
     every = F.sequence(F.lit(0), parts - 1)
     targets = several.join(hot, KEYS, "left").withColumn("shard", F.explode(every)).select(*KEYS, "shard", "keep_id")
@@ -170,7 +171,7 @@ def exact_groups(documents: DataFrame, *, id: str = "doc_id", text: str = "text"
     one = F.array(F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     leading = F.col("doc_id").eqNullSafe(F.col("lead_id"))
     members = texts.withColumn("shard", F.explode(F.when(leading, every).otherwise(one))).select("doc_id", *KEYS, "shard", "text")
-    members = members.join(targets, [*KEYS, "shard"])
+    members = members.join(targets.hint("merge"), [*KEYS, "shard"])
     members = members.withColumn("follows", ~F.col("doc_id").eqNullSafe(F.col("keep_id"))).drop("keep_id")
     near = members.repartition(*KEYS, "shard").sortWithinPartitions(*KEYS, "shard", "follows")
     variants = stage(_differing(near, _id_type(documents)).distinct(), "print-collisions")
