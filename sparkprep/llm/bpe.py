@@ -23,6 +23,7 @@ from sparkprep.llm.cache import Memo, built
 from sparkprep.llm.session import bound_batches
 
 DECODED_AT_ONCE = 1 << 20
+END = -1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,13 +39,18 @@ class Encoder:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.prefixes = {token[:i] for token in ranks for i in range(1, len(token) + 1)}
+        self.trie: dict = {}
+        for token, rank in ranks.items():
+            node = self.trie
+            for byte in token:
+                node = node.setdefault(byte, {})
+            node[END] = rank
         self.split = regex.compile(pattern).findall
         self.space = regex.compile(r"^\s|\s$|^$").search
         self.growth = Memo(self._growth, len(ranks))
         self.follows = Memo(self._follows, 1_000_000)
         self.pieces = Memo(self._piece)
-        self.spaced = Memo(self._spaced)
+        self.spaced = Memo(self._spaced, 500_000)
 
     def merges(self, data: bytes) -> tuple[list[bytes], list[list[bytes]]]:
         """The definition, for single tokens: the encoding, and the parts after each merge."""
@@ -96,19 +102,21 @@ class Encoder:
         return np.array(PrefixTable(self, data).tokens(), "<u4").tobytes()
 
     def _spaced(self, word: str) -> bytes | None:
-        """The ids of a word after a space; None if the word has space at an end or is empty."""
+        """The ids of a word after a space or, if it begins so, after a line end; None for other white space."""
+        lead, word = ("", word[1:]) if word[:1] == "\n" else (" ", word)
         if self.space(word):
             return None
-        return b"".join([self.pieces[p] for p in self.split(" " + word)])
+        found = [self.pieces[p] for p in self.split(lead + word)]
+        return b"".join(found if lead else [self.pieces["\n"], *found])
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian 32-bit integers.
 
-        A space between two other characters always begins a new match of the pattern, so
-        what lies between two such spaces is encoded by itself, and frequent words come from
-        a table. A text with other white space next to a space is split as a whole.
+        A space or a line end between two other characters always begins a new match of the
+        pattern, so what lies between two of them is encoded by itself, and frequent words
+        come from a table. A text with other white space next to them is split as a whole.
         """
-        first, *rest = text.split(" ")
+        first, *rest = text.replace("\n", " \n").split(" ")
         if not self.space(first):
             found = [*map(self.spaced.__getitem__, rest)]
             if None not in found:
@@ -136,19 +144,19 @@ class PrefixTable:
         begin = len(self.data)
         self.data += more
         self.last += [-1] * len(more)
-        for at in range(max(0, begin - self.encoder.longest + 1), len(self.data)):
-            self._reach(at)
-
-    def _reach(self, at: int) -> None:
-        """Enter the tokens that begin at ``at``, for prefixes that have no last token yet."""
-        encoder, data, last = self.encoder, self.data, self.last
-        before, ranks, prefixes, follows = last[at], encoder.ranks, encoder.prefixes, encoder.follows
-        for end in range(at + 1, len(data) + 1):
-            token = data[at:end]
-            if token not in prefixes:
-                break
-            if last[end] < 0 and token in ranks and follows[before, ranks[token]]:
-                last[end] = ranks[token]
+        self._fill(max(0, begin - self.encoder.longest + 1), len(self.data))
+
+    def _fill(self, begin: int, end: int) -> None:
+        """Enter the tokens that begin at ``begin`` up to ``end`` where a prefix has no last token yet."""
+        data, last, follows, trie, size = self.data, self.last, self.encoder.follows, self.encoder.trie, len(self.data)
+        for start in range(begin, end):
+            node, before = trie, last[start]
+            for at in range(start, size):
+                node = node.get(data[at])
+                if node is None:
+                    break
+                if last[at + 1] < 0 and END in node and follows[before, node[END]]:
+                    last[at + 1] = node[END]
 
     def replace(self, begin: int, end: int, new: bytes) -> int:
         """Replace ``data[begin:end]``; returns how many prefixes were encoded anew.
@@ -161,7 +169,7 @@ class PrefixTable:
         self.last = old[: begin + 1] + [-1] * (len(self.data) - begin)
         same = 0
         for at in range(max(0, begin - longest + 1), len(self.data)):
-            self._reach(at)
+            self._fill(at, at + 1)
             done = at + 1
             if done > begin + len(new):
                 same = same + 1 if self.last[done] == old[done - moved] else 0

@@ -21,14 +21,19 @@ def built(key: str, source: Broadcast, build: Callable[[Any], T]) -> T:
 
 
 class Memo(dict):
-    """A function's results by argument. When full it starts again, so memory stays bounded."""
+    """A function's results by argument, of the last ``limit`` to twice as many different arguments.
 
-    def __init__(self, function: Callable, limit: int = 300_000):
+    When full, the results become the older half, from which those asked for again return.
+    """
+
+    def __init__(self, function: Callable, limit: int = 200_000):
         super().__init__()
-        self.function, self.limit = function, limit
+        self.function, self.limit, self.older = function, limit, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.function(key)
+        value = self.older[key] if key in self.older else self.function(key)
+        self[key] = value
         return value

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkprep.llm.bpe import decode_ids, encode_documents
 from sparkprep.llm.fingerprints import exact_groups
 from sparkprep.llm.urls import Rule, judge_urls
 from sparkprep.plans.staging import table
@@ -19,6 +21,18 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_byte_bpe(spark: SparkSession, data_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = encode_documents(table(spark, data_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return decode_ids(encoded, ranks).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return exact_groups(table(spark, data_dir, "documents"))
