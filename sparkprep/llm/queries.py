@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.llm.bpe import decode_ids, encode_documents
 from sparkprep.llm.fingerprints import exact_groups
+from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.urls import Rule, judge_urls
+from sparkprep.llm.wordpieces import count_tokens
 from sparkprep.plans.staging import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +50,16 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM normal WINDOW same AS (PARTITION BY t)
 """
 
+@query
+def op5_token_counts(spark: SparkSession, data_dir: str) -> DataFrame:
+    return count_tokens(table(spark, data_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op8_packing(spark: SparkSession, data_dir: str) -> DataFrame:
+    return pack_documents(table(spark, data_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 # The rules that the query applies.
 URL_RULES = [
     Rule("allow", "com", "/"),
