@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.llm.bpe import decode_ids, encode_documents
 from sparkprep.llm.fingerprints import exact_groups
+from sparkprep.llm.language import held_out, identify, train
 from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.urls import Rule, judge_urls
 from sparkprep.llm.wordpieces import count_tokens
@@ -55,6 +56,13 @@ def op5_token_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     return count_tokens(table(spark, data_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op7_language_id(spark: SparkSession, data_dir: str) -> DataFrame:
+    documents = table(spark, data_dir, "documents")
+    found = identify(documents, train(documents.filter(~held_out())))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     return pack_documents(table(spark, data_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
