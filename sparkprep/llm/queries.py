@@ -7,13 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sparkprep.llm import quality
 from sparkprep.llm.bpe import decode_ids, encode_documents
 from sparkprep.llm.fingerprints import exact_groups
 from sparkprep.llm.language import held_out, identify, train
 from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.urls import Rule, judge_urls
 from sparkprep.llm.wordpieces import count_tokens
-from sparkprep.plans.staging import table
+from sparkprep.plans.staging import stage, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,6 +57,15 @@ def op5_token_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     return count_tokens(table(spark, data_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_quality(spark: SparkSession, data_dir: str) -> DataFrame:
+    measured = stage(quality.measure(table(spark, data_dir, "documents")), "statistics")
+    model = quality.train(measured.filter(~held_out()), table(spark, data_dir, "labels"))
+    scored = quality.score(measured, model)
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
 @query
 def op7_language_id(spark: SparkSession, data_dir: str) -> DataFrame:
     documents = table(spark, data_dir, "documents")
