@@ -48,9 +48,9 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.space = regex.compile(r"^\s|\s$|^$").search
         self.growth = Memo(self._growth, len(ranks))
-        self.follows = Memo(self._follows, 1_000_000)
-        self.pieces = Memo(self._piece)
-        self.spaced = Memo(self._spaced, 500_000)
+        self.follows = Memo(self._follows, 300_000)
+        self.pieces = Memo(self._piece, 100_000)
+        self.spaced = Memo(self._spaced, 250_000)
 
     def merges(self, data: bytes) -> tuple[list[bytes], list[list[bytes]]]:
         """The definition, for single tokens: the encoding, and the parts after each merge."""
