@@ -87,7 +87,7 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
 
 def window_hashes(hashes: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
     """A hash of each run of ``size`` consecutive values; entry i is for the run that starts at i."""
-    factor = np.uint64(np.random.default_rng(seed).integers(0, 2**61) * 8 + 5)
+    factor = np.uint64(int(np.random.default_rng(seed).integers(0, 2**61)) * 8 + 5)
     n = len(hashes) - size + 1
     total = np.zeros(max(n, 0), np.uint64)
     for j in range(size if n > 0 else 0):

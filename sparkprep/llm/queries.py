@@ -12,6 +12,7 @@ from sparkprep.llm.bpe import decode_ids, encode_documents
 from sparkprep.llm.fingerprints import exact_groups
 from sparkprep.llm.language import held_out, identify, train
 from sparkprep.llm.packing import pack_documents
+from sparkprep.llm.substrings import remove_repeats
 from sparkprep.llm.urls import Rule, judge_urls
 from sparkprep.llm.wordpieces import count_tokens
 from sparkprep.plans.staging import stage, table
@@ -52,6 +53,11 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM normal WINDOW same AS (PARTITION BY t)
 """
 
+@query
+def op4_substring_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, data_dir, "documents")).drop("kept_text")
+
+
 @query
 def op5_token_counts(spark: SparkSession, data_dir: str) -> DataFrame:
     return count_tokens(table(spark, data_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

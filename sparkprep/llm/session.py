@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import SparkSession
 
 BATCH_BYTES = 8 << 20
@@ -10,3 +12,9 @@ BATCH_BYTES = 8 << 20
 def bound_batches(spark: SparkSession) -> None:
     """Bound what goes to Python at once by bytes: texts differ too much in length for a bound on rows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps, which it does once their plans are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
