@@ -14,6 +14,7 @@ from sparkprep.llm.language import held_out, identify, train
 from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.substrings import remove_repeats
 from sparkprep.llm.urls import Rule, judge_urls
+from sparkprep.llm.vectors import near_duplicates
 from sparkprep.llm.wordpieces import count_tokens
 from sparkprep.plans.staging import stage, table
 
@@ -84,6 +85,11 @@ def op8_packing(spark: SparkSession, data_dir: str) -> DataFrame:
     return pack_documents(table(spark, data_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op9_embedding_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, data_dir, "embeddings"))
+
+
 # The rules that the query applies.
 URL_RULES = [
     Rule("allow", "com", "/"),
