@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sparkprep.llm import quality
 from sparkprep.llm.bpe import decode_ids, encode_documents
 from sparkprep.llm.fingerprints import exact_groups
+from sparkprep.llm.jaccard import similar_documents
 from sparkprep.llm.language import held_out, identify, train
 from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.substrings import remove_repeats
@@ -54,6 +55,11 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM normal WINDOW same AS (PARTITION BY t)
 """
 
+@query
+def op3_jaccard_join(spark: SparkSession, data_dir: str) -> DataFrame:
+    return similar_documents(table(spark, data_dir, "documents"))
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, data_dir: str) -> DataFrame:
     return remove_repeats(table(spark, data_dir, "documents")).drop("kept_text")
