@@ -72,8 +72,8 @@ def pack_documents(
 
     Each task keeps ``open_windows`` windows and places each rest best-fit. What is still open
     at the end, a bounded number of windows for each task, is merged over rounds: a task of
-    the next round takes the windows of ``MERGED_TASKS`` tasks and leaves as few. Only rows that
-    describe pieces move, and only those of leftover windows.
+    the next round takes the pieces in the windows of ``MERGED_TASKS`` tasks, places them anew
+    and leaves as few windows open. Only pieces of leftover windows move.
     """
     spark = documents.sparkSession
     bound_batches(spark)
@@ -134,21 +134,20 @@ def pack_documents(
 
 
 def _merged(pieces: DataFrame, tasks: int, size: int, open_windows: int) -> DataFrame:
-    """The pieces of open windows, moved to windows that hold several of those."""
+    """The pieces of open windows, placed anew in ``tasks`` tasks, the longest first."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(size, open_windows, TaskContext.get().partitionId() << 32)
-        last_round, moved = tasks == 1, []
-        for batch in batches:
-            for number, fill in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                moved.append((number, *windows.place(fill)[:2]))
-        still = {number for _, number in windows.open}
-        arrays = [pa.array([m[k] for m in moved], pa.int64()) for k in range(3)]
-        arrays.append(pa.array([not last_round and m[1] in still for m in moved], pa.bool_()))
-        yield pa.RecordBatch.from_arrays(arrays, ["window", "target", "base", "open"])
-
-    fills = pieces.groupBy("window").agg(F.sum("length").alias("fill")).repartition(tasks, "window")
-    fills = fills.sortWithinPartitions(F.desc("fill"), "window")
-    moves = fills.mapInArrow(merge, "window long, target long, base long, open boolean")
-    moved = pieces.drop("open").join(moves, "window")
-    return moved.withColumn("window", F.col("target")).withColumn("offset", F.col("offset") + F.col("base")).drop("target", "base")
+        held = [batch for batch in batches if batch.num_rows]
+        places = [[windows.place(n)[:2] for n in batch.column("length").to_pylist()] for batch in held]
+        still = {number for _, number in windows.open} if tasks > 1 else set()
+        for batch, found in zip(held, places):
+            new = {
+                "window": pa.array([number for number, _ in found], pa.int64()),
+                "offset": pa.array([offset for _, offset in found], pa.int64()),
+                "open": pa.array([number in still for number, _ in found], pa.bool_()),
+            }
+            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
+
+    moved = pieces.repartition(tasks, "window").sortWithinPartitions(F.desc("length"), "window", "offset")
+    return moved.mapInArrow(merge, pieces.schema)
