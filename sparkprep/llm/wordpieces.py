@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from sparkprep.llm.batches import slices
 from sparkprep.llm.cache import Memo, built
 from sparkprep.llm.session import bound_batches
+from sparkprep.llm.wordtokens import Letters
 
 
 class LongestMatch:
@@ -85,6 +86,7 @@ class Counter:
         self.end = model.get("end_of_word_suffix") or ""
         self.match = LongestMatch(list(model["vocab"]))
         self.tokenizer = Tokenizer.from_str(definition)
+        self.letters = Letters(self.tokenizer)
         self.pieces = Memo(lambda word: self.match.count(word + self.end))
         self.words = Memo(self._word, 500_000)
 
@@ -94,7 +96,8 @@ class Counter:
 
     def _word(self, text: str) -> complex:
         """Both counts in one number that adds up as they do."""
-        found = self.split(text) if text else []
+        symbols = self.letters.symbols(text)
+        found = [symbols] if symbols else self.split(text) if text else []
         return complex(len(found), sum(map(self.pieces.__getitem__, found)))
 
     def count(self, text: str) -> tuple[int, int]:

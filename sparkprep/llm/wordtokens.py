@@ -16,6 +16,31 @@ from sparkprep.llm.cache import Memo, built
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 
 
+class Letters:
+    """Words that are made of letters only, as a tokenizer's rules turn them into its symbols.
+
+    Covers the Latin letters that the rules map one by one, and to a single word when together;
+    the tokenizer itself is asked for each.
+    """
+
+    def __init__(self, tokenizer):
+        self.map: dict[int, str] = {}
+        for letter in filter(str.isalpha, map(chr, range(0x41, 0x250))):
+            normal = tokenizer.normalizer.normalize_str(letter)
+            found = tokenizer.pre_tokenizer.pre_tokenize_str(normal)
+            if len(normal) == 1 and len(found) == 1:
+                self.map[ord(letter)] = found[0][0]
+        together = "".join(map(chr, self.map))
+        found = tokenizer.pre_tokenizer.pre_tokenize_str(tokenizer.normalizer.normalize_str(together))
+        if [word for word, _ in found] != [together.translate(self.map)]:
+            self.map = {}
+        self.known = frozenset(map(chr, self.map))
+
+    def symbols(self, word: str) -> str | None:
+        """The word in the tokenizer's symbols; None if it needs the full rules."""
+        return word.translate(self.map) if self.known.issuperset(word) else None
+
+
 class WordTokens:
     """Ids by the tokenizer, for tokenizers that drop white space and lower-case letters.
 
@@ -30,11 +55,17 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
+        self.letters = Letters(self.tokenizer)
         self.cores = Memo(self._core)
         self.words = Memo(self._word, 500_000)
 
     def _core(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        symbols = self.letters.symbols(word)
+        if symbols:
+            ids = [token.id for token in self.tokenizer.model.tokenize(symbols)]
+        else:
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
 
     def _word(self, word: str) -> bytes:
         if word.isascii():
