@@ -58,8 +58,8 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: each id connects its larger neighbours to the
     least id around it, then its smaller ones. Both keep connections, and the number of rounds
     grows with the logarithm of a component's size. Rounds are written to the shared folder.
-    Minima add up in the tasks before they shuffle; the joins back on ids are such that Spark
-    splits the rows of an id with very many neighbours.
+    Minima add up in the tasks before they shuffle, and are written before they are joined
+    back: so Spark can split the rows of an id with very many neighbours.
     """
 
     def mark(df: DataFrame) -> tuple:
@@ -70,14 +70,15 @@ def components(edges: DataFrame) -> DataFrame:
     before = mark(pairs)
     while before[0]:
         around = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        least = stage(around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
         large = around.join(least.hint("merge"), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = stage(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        unstage(least)
+        least = stage(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least.hint("merge"), "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         small = stage(small.select("e.*").filter("u != v").distinct(), "links")
-        unstage(large)
-        unstage(pairs)
+        for used in (least, large, pairs):
+            unstage(used)
         pairs, after = small, mark(small)
         if after == before:
             break

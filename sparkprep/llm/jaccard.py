@@ -208,6 +208,7 @@ def similar_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "
     keyed = leads.select(F.col("id").alias("node"), F.explode("keys").alias("bucket"))
     buckets = keyed.groupBy("bucket").agg(F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"), F.min("node").alias("lead"))
     buckets = buckets.filter("m > 1").groupBy("m", "h", "lead").agg(F.min("bucket").alias("bucket"))
+    buckets = stage(buckets, "buckets")
     met = keyed.join(buckets.select("bucket", "m").hint("merge"), "bucket")
     met = met.join(leads.select(F.col("id").alias("node"), "sketch").hint("merge"), "node")
     units = _units(met, F.ceil(F.col("m") / BLOCK).cast("int"))
@@ -218,7 +219,8 @@ def similar_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "
     groups = components(edges).select(F.col("id").alias("node"), F.col("component").alias("bucket"))
     members = stage(groups.join(classes.select("node", "n", "size").hint("merge"), "node"), "candidate-groups")
     parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    members = members.join(members.groupBy("bucket").agg(parts.alias("parts")).hint("merge"), "bucket").drop("n")
+    cuts = stage(members.groupBy("bucket").agg(parts.alias("parts")), "candidate-parts")
+    members = members.join(cuts.hint("merge"), "bucket").drop("n")
     texts = source.select(F.col("id").alias("node"), "text").join(members.hint("merge"), "node")
     units = _units(texts, F.col("parts")).repartition(*keys).sortWithinPartitions(*keys)
     verified = stage(_verified(units, size, threshold), "verified")

@@ -204,27 +204,29 @@ def repeated_windows(documents: DataFrame, size: int) -> DataFrame:
     3. Only where groups share a context but not all words, single windows are counted; of
        equal groups one stands for all.
 
-    Counting adds up in the tasks before it shuffles, and joins back on hash keys, whose
-    large partitions Spark splits. Hashes of words have 96 bits or more where they decide.
+    Counting adds up in the tasks before it shuffles. Counts are written before they are
+    joined back, so that the joins have nothing to keep together and Spark splits the rows of
+    a frequent key. Hashes of words have 96 bits or more where they decide.
     """
     spark = documents.sparkSession
     groups = stage(_find_anchors(documents, size), "window-groups")
     copies = F.sum(F.when(F.col("name") == F.col("f1"), F.col("last") - F.col("first") + 1).otherwise(1)).alias("copies")
     uniform = (F.min("f1") == F.max("f1")) & (F.min("f2") == F.max("f2"))
     names = groups.groupBy("name").agg(copies, uniform.alias("uniform")).filter("copies > 1").drop("copies")
+    names = stage(names, "shared-names")
     shared = stage(groups.join(names.hint("merge"), "name"), "shared-groups")
     unstage(groups)
     release_shuffles(spark)
 
     mixed = shared.filter("NOT uniform")
     spot = F.struct(*KEY, "first")
-    fulls = mixed.groupBy("name", "f1", "f2").agg(copies, F.min(spot).alias("lead"))
+    fulls = stage(mixed.groupBy("name", "f1", "f2").agg(copies, F.min(spot).alias("lead")), "full-groups")
     mixed = stage(mixed.join(fulls.hint("merge"), ["name", "f1", "f2"]).withColumn("leads", spot.eqNullSafe(F.col("lead"))), "mixed-groups")
     known = F.col("copies") > 1
     wanted = mixed.filter(~known | F.col("leads")).select(*KEY, "first", "last", known.alias("known"))
     windows = stage(_windows(documents, wanted, size), "windows")
     release_shuffles(spark)
-    again = windows.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n")
+    again = stage(windows.groupBy("w1", "w2").agg(F.sum("copies").alias("n")).filter("n > 1").drop("n"), "window-counts")
     single = windows.filter("copies = 1").join(again.hint("merge"), ["w1", "w2"])
     ranges = [
         shared.filter("uniform").select(*KEY, "first", "last"),
@@ -232,7 +234,7 @@ def repeated_windows(documents: DataFrame, size: int) -> DataFrame:
         single.select(*KEY, F.col("at").alias("first"), F.col("at").alias("last")),
     ]
     result = stage(ranges[0].unionByName(ranges[1]).unionByName(ranges[2]), "repeated-windows")
-    for used in (shared, mixed, windows):
+    for used in (names, shared, fulls, mixed, windows, again):
         unstage(used)
     release_shuffles(spark)
     return result

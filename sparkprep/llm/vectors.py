@@ -134,6 +134,7 @@ def near_duplicates(
 
     here = ["label", "cell"]
     parts = placed.groupBy(*here).agg(F.ceil(F.count_if("home") / BLOCK).cast("int").alias("left_parts"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    parts = stage(parts, "cell-parts")
     cut = placed.join(parts.filter("left_parts > 0").hint("merge"), here)
     draw = F.xxhash64("node")
     every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
