@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -24,6 +25,7 @@ from sparkprep.llm.session import bound_batches
 
 DECODED_AT_ONCE = 1 << 20
 END = -1
+MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -39,18 +41,24 @@ class Encoder:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self.trie: dict = {}
-        for token, rank in ranks.items():
-            node = self.trie
-            for byte in token:
-                node = node.setdefault(byte, {})
-            node[END] = rank
         self.split = regex.compile(pattern).findall
         self.space = regex.compile(r"^\s|\s$|^$").search
         self.growth = Memo(self._growth, len(ranks))
         self.follows = Memo(self._follows, 300_000)
-        self.pieces = Memo(self._piece, 100_000)
-        self.spaced = Memo(self._spaced, 250_000)
+        self.pieces = Memo(self._piece, 50_000)
+        self.letters = Memo(lambda word: self._piece(" " + word), 400_000)
+        self.spaced = Memo(self._spaced, 400_000)
+
+    @cached_property
+    def trie(self) -> dict:
+        """The tokens by their bytes; a node's ``END`` is the rank of the token that ends there."""
+        root: dict = {}
+        for token, rank in self.ranks.items():
+            node = root
+            for byte in token:
+                node = node.setdefault(byte, {})
+            node[END] = rank
+        return root
 
     def merges(self, data: bytes) -> tuple[list[bytes], list[list[bytes]]]:
         """The definition, for single tokens: the encoding, and the parts after each merge."""
@@ -103,6 +111,9 @@ class Encoder:
 
     def _spaced(self, word: str) -> bytes | None:
         """The ids of a word after a space or, if it begins so, after a line end; None for other white space."""
+        core = word.rstrip(MARKS)
+        if core.isalpha():  # letters, then perhaps marks: a match each
+            return self.letters[core] + self.pieces[word[len(core) :]] if core != word else self.letters[core]
         lead, word = ("", word[1:]) if word[:1] == "\n" else (" ", word)
         if self.space(word):
             return None
