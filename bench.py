@@ -23,7 +23,6 @@ HEADLINE = [
     "section_chunks",
     "token_budget",
     "read_examples",
-    "extract_pages",
     "bleu",
     "rouge_n",
     "rouge_l",

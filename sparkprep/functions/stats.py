@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from sparkprep.plans.staging import stage, unstage
+
 MEASURES = ("count", "min", "max", "mean", "median", "std")
 
 
@@ -25,46 +27,48 @@ def basic_stats(value: Column | str) -> dict[str, Column]:
     }
 
 
-def exact_median(
-    df: DataFrame, value: str, groups: list[str] | None = None, accuracy: int = 10_000
-) -> DataFrame:
+BUCKETS = 1024
+
+
+def exact_median(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
     """``groups, median``: the exact median of a double column, per group.
 
-    A plain median gathers every distinct value of a group in one task. Here an
-    approximate percentile, whose rank error is at most ``1/accuracy``, first gives two
-    values the median must lie between. Values below are only counted, and only the
-    slice in between (0.04 % of the rows with the default) is put in order, with equal
-    values counted before the shuffle. A group without values has no row.
+    A plain median gathers every distinct value of a group in one task. Here the range that
+    holds the median is narrowed by counting: the values in it fall into ``BUCKETS`` buckets,
+    whose counts, least and largest values add up in the tasks before they shuffle. The
+    bucket that holds the wanted rank is the next range, until it is a single value. No task
+    sees more than the buckets of a group. A group without values has no row.
     """
     groups = groups or []
     data = df.select(*groups, F.col(value).cast("double").alias("v")).filter("v IS NOT NULL")
-    margin = 2.0 / accuracy
-    bounds = F.percentile_approx("v", [0.5 - margin, 0.5 + margin], accuracy)
-    ends = data.groupBy(*groups).agg(F.count("v").alias("n"), bounds.alias("ends"))
-    if groups:
-        bounded = data.join(ends, groups)
-    else:
-        bounded = data.withColumn("e", ends.select(F.struct("n", "ends")).scalar()).select(
-            "v", "e.*"
-        )
-    low, high = F.col("ends")[0], F.col("ends")[1]
-    slices = (
-        bounded.filter(F.col("v") <= high)
-        .withColumn("v", F.when(F.col("v") >= low, F.col("v")))
-        .groupBy(*groups, "n", "v")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    order = Window.partitionBy(*groups).orderBy(F.col("v").asc_nulls_first())
-    upto = slices.withColumn(
-        "upto", F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    ends = data.groupBy(*groups).agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    ranks = F.array(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)
+    ranges = ends.filter("n > 0").select(*groups, F.posexplode(ranks).alias("side", "rank"), "low", "high")
+    ranges = stage(ranges, "median-ranges")
+    while ranges.filter("NOT low <=> high").limit(1).count():
+        narrowed = stage(_narrowed(data, ranges, groups), "median-ranges")
+        unstage(ranges)
+        ranges = narrowed
+    return ranges.groupBy(*groups).agg(F.avg("low").alias("median")).filter("median IS NOT NULL")
 
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("upto") >= rank, F.col("v")))
 
-    middle = F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1
-    picked = upto.groupBy(*groups).agg(((at(middle[0]) + at(middle[1])) / 2).alias("median"))
-    return picked if groups else picked.filter("median IS NOT NULL")
+def _narrowed(data: DataFrame, ranges: DataFrame, groups: list[str]) -> DataFrame:
+    """The ranges' buckets that hold the wanted ranks. The ends are buckets of their own, so ranges shrink."""
+    wide = ranges.filter("NOT low <=> high")
+    if groups:
+        rows = data.join(wide, groups).filter("v >= low AND v <= high")
+    else:  # two ranges at most
+        limits = F.array(*(F.struct(*(F.lit(x).alias(c) for c, x in r.asDict().items())) for r in wide.collect()))
+        rows = data.select("v", F.inline(limits)).filter("v >= low AND v <= high")
+    place = (F.col("v") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * (BUCKETS - 2)
+    inner = F.coalesce(F.nanvl(place, F.lit(0.0)), F.lit(0.0)).cast("int") + 1
+    bucket = F.when(F.col("v") == F.col("low"), 0).when(F.col("v") == F.col("high"), BUCKETS).otherwise(F.least(inner, F.lit(BUCKETS - 1)))
+    keys = [*groups, "side", "rank"]
+    counts = rows.groupBy(*keys, bucket.alias("bucket")).agg(F.count("v").alias("c"), F.min("v").alias("low"), F.max("v").alias("high"))
+    upto = F.sum("c").over(Window.partitionBy(*groups, "side").orderBy("bucket"))
+    found = counts.withColumn("upto", upto).filter((F.col("upto") >= F.col("rank")) & (F.col("upto") - F.col("c") < F.col("rank")))
+    found = found.withColumn("rank", F.col("rank") - (F.col("upto") - F.col("c")))
+    return found.select(ranges.columns).unionByName(ranges.filter("low <=> high"))
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -47,6 +47,18 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def clean_text(text: Column) -> Column:
+    """Text ready for chunking: no control characters, single blanks, at most one empty line in a row.
+
+    Line ends become line feeds, tabs and no-break spaces blanks; blanks beside a line end and
+    white space at both ends go. Unicode forms are left to the caller.
+    """
+    steps = [("\r\n?", "\n"), ("[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", ""), ("[ \t\u00A0]+", " "), (" ?\n ?", "\n"), ("\n{3,}", "\n\n")]
+    for pattern, new in steps:
+        text = F.regexp_replace(text, pattern, new)
+    return strip(text)
+
+
 def is_blank(text: Column) -> Column:
     """True if there is nothing but white space."""
     return ~text.rlike(NOT_WHITESPACE)

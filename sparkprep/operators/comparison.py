@@ -89,13 +89,11 @@ def compare_outputs(aligned: DataFrame) -> DataFrame:
 
 
 def answers_by_model(answers: DataFrame, models: list[str]) -> DataFrame:
-    """One row per ``question`` with a column of answers per model.
+    """One row per ``id, question`` with a column of answers per model.
 
-    Of several answers the one with the smallest ``id`` is kept.
+    An id has one answer per model; were there several, the least would be shown.
     """
-    return (
-        answers.groupBy("question").pivot("model", models).agg(F.min_by("answer", "id"))
-    )
+    return answers.groupBy("id", "question").pivot("model", models).agg(F.min("answer"))
 
 
 def example_predictions(predictions: DataFrame, count: int = 5, row_id: str = "id") -> DataFrame:

@@ -77,10 +77,17 @@ def _points(
             for name, value, data_type, status in points
         )
     )
-    has_value = F.coalesce("value_int", "value_double").isNotNull()
+    has_value = F.col("value_bool").isNotNull() | F.coalesce("value_int", "value_double").isNotNull()
     return entries.select("ts", "endpoint_id", F.inline(rows)).filter(has_value)
 
 
+def value_points(entries: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """A point for each entry and named value that is not null; the value's own type says which column is set."""
+    kinds = {"boolean": "boolean", "tinyint": "bigint", "smallint": "bigint", "int": "bigint", "bigint": "bigint"}
+    types = dict(entries.select(*(v.alias(n) for n, v in values.items())).dtypes)
+    return _points(entries, [(n, v, kinds.get(types[n], "double"), None) for n, v in values.items()])
+
+
 def metric_points(log: DataFrame) -> DataFrame:
     """A count point with the status and a latency point for each log entry."""
     return _points(
@@ -113,9 +120,12 @@ def between(log: DataFrame, start=None, end=None, inclusive_end: bool = True) ->
 
 
 def recent(log: DataFrame, minutes: int = 30) -> DataFrame:
-    """Entries of the last minutes, counted back from the newest entry."""
-    newest = log.agg(F.max("ts")).scalar()
-    return log.filter(F.col("ts") > newest - F.expr(f"INTERVAL {minutes} MINUTES"))
+    """Entries of the last minutes, counted back from the newest entry.
+
+    The bound is computed first, from the time column alone, so it reaches the scan.
+    """
+    newest = log.agg((F.max("ts") - F.expr(f"INTERVAL {minutes} MINUTES")).alias("bound")).first()["bound"]
+    return log.filter(F.lit(False) if newest is None else F.col("ts") > F.lit(newest))
 
 
 def _window_metrics(entries: DataFrame, value: str, prefix: str) -> DataFrame:

@@ -45,22 +45,27 @@ def default_criteria(models: list[str]) -> Column:
 def review_tasks(
     examples: DataFrame, outputs: DataFrame, models: list[str], criteria: Column | None = None
 ) -> DataFrame:
-    """``task_id, input_text, reference_output, model_outputs, evaluation_criteria``.
+    """``task_id, input_text, reference_output, model_outputs, more_outputs, evaluation_criteria``.
 
     ``examples`` has ``id, input, output`` and ``outputs`` has ``id, model, prediction``
-    with one row per model; only ``models`` are taken.
+    with one row per model; only ``models`` are taken. Were there several outputs of a
+    model, the least is its output and ``more_outputs`` holds the others.
     """
-    # One value per known model, so the state of a group does not grow with its rows.
-    answers = [F.min(F.when(F.col("model") == m, F.col("prediction"))) for m in models]
-    given = F.map_from_arrays(F.array(*map(F.lit, models)), F.array(*answers))
-    by_model = outputs.groupBy("id").agg(
-        F.map_filter(given, lambda _, answer: answer.isNotNull()).alias("model_outputs")
+    given = outputs.filter(F.col("model").isin(models) & F.col("prediction").isNotNull())
+    pairs = F.sort_array(F.collect_list(F.struct("model", "prediction")))
+    by_model = given.groupBy("id").agg(pairs.alias("pairs"))
+    first = lambda pair, i: (i == 0) | (F.get("pairs", i - 1)["model"] != pair["model"])
+    by_model = by_model.select(
+        "id",
+        F.map_from_entries(F.filter("pairs", first)).alias("model_outputs"),
+        F.filter("pairs", lambda pair, i: ~first(pair, i)).alias("more_outputs"),
     )
     return examples.join(by_model, "id").select(
         F.col("id").alias("task_id"),
         F.col("input").alias("input_text"),
         F.col("output").alias("reference_output"),
         "model_outputs",
+        "more_outputs",
         (default_criteria(models) if criteria is None else criteria).alias("evaluation_criteria"),
     )
 

@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkprep.functions.chunks import chunk_text
 from sparkprep.functions.hashing import pick, row_key
+from sparkprep.operators.chunking import chunk_documents
 from sparkprep.operators.examples import example_lists, sample_chunk_lists
 from sparkprep.operators.monitoring import prediction_log
 from sparkprep.operators.structure import pages_of
-from sparkprep.plans.staging import table
+from sparkprep.plans.staging import is_folder, table
 
 # The documents have no blank lines; a line is a paragraph, and a page where pages matter.
 SEPARATOR = "\n"
@@ -40,6 +41,11 @@ class Inputs:
     def sampled(self) -> DataFrame:
         return sample_chunk_lists(self.documents(), self.chunk_list())
 
+    def chunked(self) -> DataFrame:
+        """All chunks with the keys that sampling and templates go by."""
+        chunks = chunk_documents(self.documents(), separator=SEPARATOR)
+        return chunks.withColumn("sample_key", row_key("doc_id", "chunk_index"))
+
     def examples(self) -> DataFrame:
         """All sampled examples, the invalid ones too."""
         return example_lists(self.documents(), self.chunk_list())
@@ -166,4 +172,6 @@ class Inputs:
         """A table as a stream of files, whether it is one file or a folder of part files."""
         path = f"{self.data_dir}/{name}.parquet"
         reader = self.spark.readStream.schema(self.table(name).schema)
-        return reader.option("pathGlobFilter", "*.parquet").parquet(path)
+        if is_folder(self.spark, path):
+            return reader.parquet(path)
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.data_dir)  # streams read folders

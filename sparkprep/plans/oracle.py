@@ -87,21 +87,25 @@ sampled AS (
     CASE WHEN sample_rank <= floor(least(n, 10)::DOUBLE * 0.5::DOUBLE)
       THEN 'qa' ELSE 'instruction' END AS kind
   FROM ranked WHERE sample_rank <= 10),
-subjects AS (
-  SELECT *, {_strip("string_split(chunk, '.')[1]")} AS sentence FROM sampled),
+sentences AS (
+  SELECT *, {_strip("string_split(chunk, '.')[1]")} AS sentence FROM keyed),
 texts AS (
   SELECT *,
     CASE WHEN list_contains({_list(LEADING_STOPWORDS)}, lower(({_words('sentence')})[1]))
       THEN array_to_string(({_words('sentence')})[2:], ' ') ELSE sentence END AS subject,
     array_to_string(({_words('chunk')})[:10], ' ') AS keywords
-  FROM subjects),
+  FROM sentences),
+told AS (
+  SELECT *,
+    replace({_list(QUESTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', subject) AS question,
+    replace({_list(INSTRUCTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', keywords) AS instruction
+  FROM texts),
+subjects AS (
+  SELECT s.*, t.sentence FROM sampled s JOIN told t USING (doc_id, chunk_index)),
 examples AS (
-  SELECT doc_id, chunk_index, kind, sentence, subject, keywords, question, instruction,
-    CASE kind WHEN 'qa' THEN question ELSE instruction END AS input_text, chunk AS output_text
-  FROM (SELECT *,
-      replace({_list(QUESTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', subject) AS question,
-      replace({_list(INSTRUCTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', keywords) AS instruction
-    FROM texts)),
+  SELECT s.doc_id, s.chunk_index, kind,
+    CASE kind WHEN 'qa' THEN question ELSE instruction END AS input_text, s.chunk AS output_text
+  FROM sampled s JOIN told t USING (doc_id, chunk_index)),
 valid AS (
   SELECT doc_id, chunk_index, kind, input_text, output_text FROM examples
   WHERE length(input_text) BETWEEN 10 AND 1024 AND length(output_text) BETWEEN 20 AND 2048),
@@ -341,39 +345,26 @@ ORACLE: dict[str, str] = {
         len(string_split(text, {NL}))::INTEGER AS "PageCount" FROM files""",
         _FILES,
     ),
-    "entity_spans": """SELECT doc_id, lang AS type, substr(text, 1, 12) AS text, 0.9::DOUBLE AS confidence
-        FROM documents UNION ALL
-        SELECT doc_id, source, substr(text, 8, 23), 0.5::DOUBLE FROM documents""",
+    "entity_spans": """SELECT doc_id, lang AS type, substr(text, 1, length(text) // 2) AS text,
+        0.9::DOUBLE AS confidence FROM documents UNION ALL
+        SELECT doc_id, source, substr(text, length(text) // 2 + 1), 0.5::DOUBLE FROM documents""",
     "load_chunks": _with(
         f"""SELECT doc_id, page_no - 1 AS chunk_index, {_strip('text')} AS chunk
         FROM pages WHERE {_strip('text')} <> ''""",
         _PAGES,
     ),
-    "read_examples": """SELECT doc_id, substr(text, 1, 40) AS input_text, text AS output_text
-        FROM documents WHERE doc_id % 5 >= 3""",
-    "rejected_lines": """SELECT doc_id, CASE WHEN doc_id % 5 = 1 THEN 0 ELSE 1 END::INTEGER AS unreadable
-        FROM documents WHERE doc_id % 5 < 3""",
+    "read_examples": "SELECT doc_id, 'About: ' || text AS input_text, text AS output_text FROM documents",
+    "rejected_lines": """SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 0 ELSE 1 END::INTEGER AS unreadable
+        FROM documents""",
     "read_splits": _with("SELECT split, input_text, output_text FROM splits", _PREPARE),
-    "manifest": _with("SELECT split, 1::INTEGER AS has_files FROM splits GROUP BY split", _PREPARE),
+    "manifest": _with("SELECT split, count(*) AS rows FROM splits GROUP BY split", _PREPARE),
     "read_eval": _with("SELECT * FROM turns", _TURNS),
-    "read_questions": """SELECT doc_id, substr(text, 1, 20) AS question FROM documents
-        UNION ALL SELECT doc_id, substr(text, 21, 20) FROM documents""",
+    "read_questions": _with("SELECT doc_id, text AS question FROM pages", _PAGES),
     "file_inventory": _with(
         """SELECT directory, count(*) AS files, sum(length)::BIGINT AS bytes
         FROM files GROUP BY directory""",
         _FILES,
     ),
-    "extract_pages": _with(
-        """SELECT path, page_no, p.text FROM files JOIN pages p USING (doc_id)
-        WHERE left(files.text, 1) NOT IN ('A', 'E')""",
-        _FILES,
-        _PAGES,
-    ),
-    "quarantine": _with(
-        """SELECT path, 'ValueError: unreadable' AS error FROM files
-        WHERE left(text, 1) IN ('A', 'E')""",
-        _FILES,
-    ),
     "trial_history": _with(
         "SELECT trial, round(best_metric, 6) AS best_metric, step, round(eval_loss, 6) AS eval_loss FROM history",
         _TRIALS,
@@ -389,14 +380,22 @@ ORACLE: dict[str, str] = {
         FROM paragraphs""",
         _PREPARE,
     ),
+    "clean_text": f"""SELECT doc_id, {_strip(r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        regexp_replace(text, '\r\n?', chr(10), 'g'), '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'),
+        '[ \t\x{A0}]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g')""")} AS text FROM documents""",
     **{
-        name: _with(f"SELECT doc_id, chunk_index, {column} FROM examples", _PREPARE)
+        name: _with(f"SELECT doc_id, chunk_index, {column} FROM told", _PREPARE)
         for name, column in {
             "first_sentence": "sentence",
             "strip_stopword": "subject",
             "gen_question": "question",
             "keywords": "keywords",
             "gen_instruction": "instruction",
+        }.items()
+    },
+    **{
+        name: _with(f"SELECT doc_id, chunk_index, {column} FROM examples", _PREPARE)
+        for name, column in {
             "make_examples": "kind, input_text, output_text",
             "training_prompt": f"'Input: ' || input_text || {NL} || 'Output: ' || output_text AS prompt",
         }.items()
@@ -510,13 +509,13 @@ ORACLE: dict[str, str] = {
     ),
     # metrics
     "rouge_n": _with(
-        """SELECT id, round(max(f) FILTER (WHERE n = 1), 6) AS rouge1,
-        round(max(f) FILTER (WHERE n = 2), 6) AS rouge2 FROM rouge WHERE model = 'tuned' GROUP BY id""",
+        """SELECT id, model, round(max(f) FILTER (WHERE n = 1), 6) AS rouge1,
+        round(max(f) FILTER (WHERE n = 2), 6) AS rouge2 FROM rouge GROUP BY id, model""",
         _TURNS,
         _metrics("predictions"),
     ),
     "rouge_l": _with(
-        """SELECT id, round(f, 6) AS "rougeL" FROM rouge_l WHERE model = 'baseline'""",
+        """SELECT id, model, round(f, 6) AS "rougeL" FROM rouge_l""",
         _TURNS,
         _metrics("predictions"),
     ),
@@ -584,10 +583,10 @@ ORACLE: dict[str, str] = {
     "compare_aligned_outputs": _with("SELECT id, baseline, tuned, output AS reference FROM outputs", _TURNS),
     "review_tasks": _with(
         """SELECT id AS task_id, input AS input_text, output AS reference_output, baseline, tuned,
-        'relevance,accuracy,fluency,preference' AS criteria FROM outputs""",
+        0::INTEGER AS more_outputs, 'relevance,accuracy,fluency,preference' AS criteria FROM outputs""",
         _TURNS,
     ),
-    "ratings_long": _with("SELECT id AS evaluation_id, model, criterion, value FROM rated", _RATINGS),
+    "ratings_long": _with("SELECT id AS evaluation_id, preference, model, criterion, value FROM rated JOIN choices USING (id)", _RATINGS),
     "rating_stats": _with(
         """SELECT model, criterion, count, round(mean, 6) AS mean, round(median, 6) AS median,
         round(std, 6) AS std FROM rating_means""",
@@ -611,25 +610,77 @@ ORACLE: dict[str, str] = {
         _RATINGS,
     ),
     "evaluation_summary": _with(
-        f"""SELECT 'metrics' AS section, metric AS name, 'value' AS measure, round(value, 6) AS value
-        FROM text_metrics WHERE model = 'tuned'
-        UNION ALL SELECT 'prediction_stats', field, measure, value FROM (
+        " UNION ALL ".join(
+            f"""SELECT 'metrics' AS section, metric AS name, 'value' AS measure, round(value, 6) AS value, '{m}' AS summary_of
+        FROM text_metrics WHERE model = '{m}'
+        UNION ALL SELECT 'prediction_stats', field, measure, value, '{m}' FROM (
           UNPIVOT (SELECT field, count::DOUBLE AS count, min::DOUBLE AS min, max::DOUBLE AS max, mean, median, std
-            FROM ({_STATS_LONG})) ON count, min, max, mean, median, std INTO NAME measure VALUE value)
-        UNION ALL SELECT 'improvement', metric, 'absolute_improvement', round(absolute_improvement, 6) FROM compared
-        UNION ALL SELECT 'improvement', metric, 'relative_improvement', round(relative_improvement, 6) FROM compared
-        UNION ALL SELECT 'human_evaluation', model, 'overall', round(avg(mean), 6) FROM rating_means GROUP BY model""",
+            FROM ({_STATS_LONG.replace('FROM p', f"FROM predictions WHERE model = '{m}'")}))
+          ON count, min, max, mean, median, std INTO NAME measure VALUE value)
+        UNION ALL SELECT 'improvement', metric, 'absolute_improvement', round(absolute_improvement, 6), '{m}' FROM compared
+        UNION ALL SELECT 'improvement', metric, 'relative_improvement', round(relative_improvement, 6), '{m}' FROM compared
+        UNION ALL SELECT 'human_evaluation', model, 'overall', round(avg(mean), 6), '{m}' FROM rating_means GROUP BY model"""
+            for m in ("tuned", "baseline")
+        ),
         _RATINGS,
-        "p AS (SELECT * FROM predictions WHERE model = 'tuned')",
         _metrics("predictions"),
     ),
     "example_predictions": _with(
-        "SELECT * FROM predictions WHERE model = 'tuned' ORDER BY id LIMIT 5", _TURNS
+        """(SELECT * FROM predictions WHERE model = 'tuned' ORDER BY id LIMIT 5) UNION ALL
+        (SELECT * FROM predictions WHERE model = 'baseline' ORDER BY id LIMIT 5)""",
+        _TURNS,
     ),
     "answers_by_model": _with(
-        """SELECT input AS question, arg_min(baseline, id) AS baseline, arg_min(tuned, id) AS tuned
-        FROM outputs GROUP BY input""",
-        _TURNS,
+        "SELECT id, input AS question, baseline, tuned FROM outputs", _TURNS
+    ),
+    # the training set as a whole
+    "duplicate_inputs": _with(
+        f"""SELECT md5({_strip('lower(input_text)')}) AS input_key, count(*) AS count,
+        count(*) FILTER (WHERE split = 'train') AS train, count(*) FILTER (WHERE split = 'val') AS val,
+        count(*) FILTER (WHERE split = 'test') AS test, (count(DISTINCT split) > 1)::INTEGER AS leaked
+        FROM splits GROUP BY ALL HAVING count(*) > 1""",
+        _PREPARE,
+    ),
+    "coverage": _with(
+        r"""SELECT b.doc_id, length(body)::INTEGER AS source_characters,
+        coalesce(covered, 0)::INTEGER AS covered_characters,
+        round(coalesce(coalesce(covered, 0) / nullif(length(body), 0), 0), 6) AS coverage
+        FROM bodies b LEFT JOIN (
+          SELECT doc_id, sum(greatest(stop - greatest(start, coalesce(before, 0)), 0)) AS covered
+          FROM (SELECT *, max(stop) OVER (PARTITION BY doc_id ORDER BY start, stop
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM spans)
+          GROUP BY doc_id) USING (doc_id)""",
+        _PREPARE,
+        r"""bodies AS (SELECT doc_id, regexp_replace(text, '[ \t\n\r\f\x0B]+', '', 'g') AS body FROM documents)""",
+        r"""spans AS (
+          SELECT DISTINCT doc_id, strpos(body, part) AS start, strpos(body, part) + length(part) AS stop
+          FROM (SELECT doc_id, regexp_replace(output_text, '[ \t\n\r\f\x0B]+', '', 'g') AS part FROM splits)
+            JOIN bodies USING (doc_id) WHERE part <> '' AND contains(body, part))""",
+    ),
+    "diversity": _with(
+        f"""SELECT sum(n)::BIGINT AS examples, count(*) AS kinds,
+        round(log2(sum(n)) - sum(n * log2(n)) / sum(n), 6) AS entropy,
+        round((log2(sum(n)) - sum(n * log2(n)) / sum(n)) / log2(count(*)), 6) AS evenness,
+        (SELECT count(DISTINCT input_text) FROM splits) AS distinct_inputs
+        FROM (SELECT ({_words('input_text')})[1] AS template, count(*) AS n FROM splits GROUP BY 1)""",
+        _PREPARE,
+    ),
+    "relevance": _with(
+        r"""SELECT doc_id, chunk_index, round(coalesce(len(list_intersect(a, b)) /
+          nullif(len(a) + len(b) - len(list_intersect(a, b)), 0), 0), 6) AS relevance
+        FROM (SELECT doc_id, chunk_index,
+            list_distinct(list_filter(regexp_split_to_array(lower(input_text), '[^\p{L}\p{N}]+'), lambda t: t <> '')) AS a,
+            list_distinct(list_filter(regexp_split_to_array(lower(output_text), '[^\p{L}\p{N}]+'), lambda t: t <> '')) AS b
+          FROM splits)""",
+        _PREPARE,
+    ),
+    "version_diff": _with(
+        """SELECT content_key, coalesce(o, 0) AS old_count, coalesce(n, 0) AS new_count,
+        CASE WHEN o IS NULL THEN 'added' WHEN n IS NULL THEN 'removed' ELSE 'kept' END AS change
+        FROM (SELECT md5(md5(input_text) || md5(output_text)) AS content_key, count(*) AS o FROM examples GROUP BY 1)
+        FULL JOIN (SELECT md5(md5(input_text) || md5(output_text)) AS content_key, count(*) AS n FROM splits GROUP BY 1)
+          USING (content_key)""",
+        _PREPARE,
     ),
     # monitoring
     "prediction_log": _with(
@@ -646,6 +697,17 @@ ORACLE: dict[str, str] = {
           WHERE score IS NOT NULL)""",
         _LOG,
     ),
+    "typed_points": _with(
+        f"""SELECT {_ts('ts')} AS ts, 'model/' || model_id || '/' || metric AS metric, endpoint_id,
+          value_bool, value_int, value_double FROM (
+        SELECT ts, model_id, 'failed' AS metric, endpoint_id, (status = 'error')::INTEGER AS value_bool,
+          NULL::BIGINT AS value_int, NULL::DOUBLE AS value_double FROM log
+        UNION ALL SELECT ts, model_id, 'request_length', endpoint_id, NULL, length(request), NULL FROM log
+          WHERE request IS NOT NULL
+        UNION ALL SELECT ts, model_id, 'usage', endpoint_id, NULL, NULL, round(usage, 6) FROM log
+          WHERE usage IS NOT NULL)""",
+        _LOG,
+    ),
     "prediction_metrics": _with(
         f"SELECT {_window_measures('latency', 'prediction')} FROM log WHERE ts BETWEEN {START} AND {END}", _LOG
     ),
@@ -717,11 +779,6 @@ ORACLE: dict[str, str] = {
         FROM (SELECT count(*) AS n FROM valid), (SELECT unnest([2, 4, 8]) AS b)""",
         _PREPARE,
     ),
-    "score_batch": _with(
-        """SELECT id, (2 * length('Question: ' || input || chr(10) || 'Answer:'))::VARCHAR AS answer
-        FROM turns""",
-        _TURNS,
-    ),
     # streams: windows that are closed when the stream has been read
     "stream_metrics": _with(
         f"""SELECT {_ts('w')} AS window_start, {_ts("w + INTERVAL 1 DAY")} AS window_end, endpoint_id, status,

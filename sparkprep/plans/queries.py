@@ -10,8 +10,8 @@ from sparkprep.functions import text as T
 from sparkprep.functions.chunks import paragraphs
 from sparkprep.functions.overlap import cosine
 from sparkprep.functions.stats import basic_stats, round_doubles
-from sparkprep.operators import chunking, comparison, examples, metrics, monitoring, quality
-from sparkprep.operators import review, scoring, splitting, structure, trials
+from sparkprep.operators import chunking, comparison, dataset, examples, metrics, monitoring
+from sparkprep.operators import quality, review, scoring, splitting, structure, trials
 from sparkprep.plans.inputs import MODELS, SEPARATOR, SHORT_LINE, Inputs
 from sparkprep.plans.prepare import prepare_training_data, training_examples
 from sparkprep.plans.staging import stage, staging_path
@@ -42,12 +42,6 @@ def stamp(column: str) -> Column:
 # Sources and sinks
 
 
-@query
-def scan_files(i: Inputs) -> DataFrame:
-    found = files.scan_files(i.spark, i.data_dir, "*.parquet")
-    return found.select(files.file_name(F.col("path")).alias("file"), "length")
-
-
 @query
 def assemble_pages(i: Inputs) -> DataFrame:
     return i.paged().select("doc_id", structure.assemble_pages(F.col("pages")).alias("text"))
@@ -71,15 +65,14 @@ def file_metadata(i: Inputs) -> DataFrame:
 
 @query
 def entity_spans(i: Inputs) -> DataFrame:
-    def span(kind: Column, start: int, end: int, confidence: float) -> Column:
-        return F.struct(
-            kind.alias("type"),
-            F.lit(start).alias("start_index"),
-            F.lit(end).alias("end_index"),
-            F.lit(confidence).alias("confidence"),
-        )
-
-    spans = F.array(span(F.col("lang"), 0, 12, 0.9), span(F.col("source"), 7, 30, 0.5))
+    """Both halves of each text as spans."""
+    half, end = F.floor(F.length("text") / 2).cast("int"), F.length("text")
+
+    def span(kind: Column, start: Column, stop: Column, confidence: float) -> Column:
+        parts = {"type": kind, "start_index": start, "end_index": stop, "confidence": F.lit(confidence)}
+        return F.struct(*(v.alias(n) for n, v in parts.items()))
+
+    spans = F.array(span(F.col("lang"), F.lit(0), half, 0.9), span(F.col("source"), half, end, 0.5))
     found = structure.entity_spans(F.col("text"), spans)
     return i.table("documents").select("doc_id", F.inline(found))
 
@@ -91,17 +84,15 @@ def load_chunks(i: Inputs) -> DataFrame:
 
 
 def _example_lines(i: Inputs) -> DataFrame:
-    """JSON lines of which some are broken, incomplete or no object."""
-    start, whole = F.substring("text", 1, 40), F.col("text")
-    case = F.col("doc_id") % 5
-    return i.documents().select(
-        "doc_id",
-        F.when(case == 0, "{broken")
-        .when(case == 1, F.to_json(F.struct(start.alias("input_text"))))
-        .when(case == 2, F.to_json(F.array(F.struct(start.alias("input_text")))))
-        .otherwise(F.to_json(F.struct(start.alias("input_text"), whole.alias("output_text"))))
-        .alias("value"),
+    """A good JSON line for each document, and one that is broken, incomplete or no object."""
+    whole, case = F.col("text"), F.col("doc_id") % 3
+    good = F.to_json(F.struct(F.concat(F.lit("About: "), whole).alias("input_text"), whole.alias("output_text")))
+    bad = (
+        F.when(case == 0, F.concat(F.lit("{broken"), whole))
+        .when(case == 1, F.to_json(F.struct(whole.alias("input_text"))))
+        .otherwise(F.to_json(F.array(F.struct(whole.alias("input_text")))))
     )
+    return i.documents().select("doc_id", F.explode(F.array(good, bad)).alias("value"))
 
 
 @query
@@ -129,10 +120,12 @@ def read_splits(i: Inputs) -> DataFrame:
 
 @query
 def manifest(i: Inputs) -> DataFrame:
+    """The rows that the files of the manifest hold, by split."""
     path = staging_path(i.spark, "manifest")
     sinks.write_splits(_prepared(i), path)
-    listed = sinks.manifest(i.spark, path)
-    return listed.select("split", (F.size("uris") > 0).cast("int").alias("has_files"))
+    listed = stage(sinks.manifest(i.spark, path), "manifest-files")
+    lines = i.spark.read.option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("uri"))
+    return listed.join(lines, "uri").groupBy("split").agg(F.count("*").alias("rows"))
 
 
 @query
@@ -147,7 +140,7 @@ def read_eval(i: Inputs) -> DataFrame:
 
 @query
 def read_questions(i: Inputs) -> DataFrame:
-    asked = F.array(F.substring("text", 1, 20), F.substring("text", 21, 20))
+    asked = F.split("text", "\n")
     document = F.when(F.col("doc_id") % 2 == 0, F.to_json(asked)).otherwise(
         F.to_json(F.struct(asked.alias("questions")))
     )
@@ -159,30 +152,6 @@ def file_inventory(i: Inputs) -> DataFrame:
     return files.file_inventory(i.files())
 
 
-def _parsed(i: Inputs) -> tuple[DataFrame, DataFrame]:
-    """(pages, failures) of a stand-in for a PDF parser: a page per line, some unreadable."""
-
-    def load():
-        def parse(content: bytes) -> list[str]:
-            if content[:1] in (b"A", b"E"):
-                raise ValueError("unreadable")
-            return content.decode("utf-8").split("\n")
-
-        return parse
-
-    return scoring.quarantine(scoring.extract_pages(i.files(), load))
-
-
-@query
-def extract_pages(i: Inputs) -> DataFrame:
-    return _parsed(i)[0].select("path", F.inline("pages"))
-
-
-@query
-def quarantine(i: Inputs) -> DataFrame:
-    return _parsed(i)[1]
-
-
 @query
 def trial_history(i: Inputs) -> DataFrame:
     return trials.explode_history(jsonl.parse_trainer_state(i.trainer_states()))
@@ -203,32 +172,37 @@ def _paragraphs(i: Inputs) -> DataFrame:
     return i.documents().select("doc_id", found)
 
 
+@query
+def clean_text(i: Inputs) -> DataFrame:
+    return i.documents().select("doc_id", T.clean_text(F.col("text")).alias("text"))
+
+
 @query
 def first_sentence(i: Inputs) -> DataFrame:
-    return i.sampled().select(*IDENTITY, T.first_sentence(F.col("chunk")).alias("sentence"))
+    return i.chunked().select(*IDENTITY, T.first_sentence(F.col("chunk")).alias("sentence"))
 
 
 @query
 def strip_stopword(i: Inputs) -> DataFrame:
     subject = T.drop_leading_stopword(T.first_sentence(F.col("chunk")))
-    return i.sampled().select(*IDENTITY, subject.alias("subject"))
+    return i.chunked().select(*IDENTITY, subject.alias("subject"))
 
 
 @query
 def gen_question(i: Inputs) -> DataFrame:
     asked = T.question(F.col("chunk"), F.col("sample_key"))
-    return i.sampled().select(*IDENTITY, asked.alias("question"))
+    return i.chunked().select(*IDENTITY, asked.alias("question"))
 
 
 @query
 def keywords(i: Inputs) -> DataFrame:
-    return i.sampled().select(*IDENTITY, T.keywords(F.col("chunk")).alias("keywords"))
+    return i.chunked().select(*IDENTITY, T.keywords(F.col("chunk")).alias("keywords"))
 
 
 @query
 def gen_instruction(i: Inputs) -> DataFrame:
     told = T.instruction(F.col("chunk"), F.col("sample_key"))
-    return i.sampled().select(*IDENTITY, told.alias("instruction"))
+    return i.chunked().select(*IDENTITY, told.alias("instruction"))
 
 
 @query
@@ -404,14 +378,12 @@ def dataset_summary(i: Inputs) -> DataFrame:
 
 @query
 def rouge_n(i: Inputs) -> DataFrame:
-    rows = i.predictions().filter(F.col("model") == "tuned")
-    return metrics.rouge_scores(rows, longest=False).select("id", "rouge1", "rouge2")
+    return metrics.rouge_scores(i.predictions(), longest=False).select("id", "model", "rouge1", "rouge2")
 
 
 @query
 def rouge_l(i: Inputs) -> DataFrame:
-    rows = i.predictions().filter(F.col("model") == "baseline")
-    return metrics.rouge_scores(rows).select("id", "rougeL")
+    return metrics.rouge_scores(i.predictions()).select("id", "model", "rougeL")
 
 
 @query
@@ -491,13 +463,14 @@ def review_tasks(i: Inputs) -> DataFrame:
         "input_text",
         "reference_output",
         *(F.col("model_outputs")[m].alias(m) for m in MODELS),
+        F.size("more_outputs").alias("more_outputs"),
         F.array_join(F.transform("evaluation_criteria", lambda c: c["name"]), ",").alias("criteria"),
     )
 
 
 @query
 def ratings_long(i: Inputs) -> DataFrame:
-    return review.explode_ratings(i.evaluations()).drop("task_id", "preference")
+    return review.explode_ratings(i.evaluations()).drop("task_id")
 
 
 @query
@@ -523,21 +496,23 @@ def rating_violations(i: Inputs) -> DataFrame:
 
 @query
 def evaluation_summary(i: Inputs) -> DataFrame:
+    """The summary of each model."""
     measured = stage(comparison.model_metrics(i.predictions()), "metrics")
-    tuned = i.predictions().filter(F.col("model") == "tuned")
-    overall = review.rating_overall(review.rating_stats(review.explode_ratings(i.evaluations())))
-    return comparison.evaluation_summary(
-        tuned,
-        measured.filter(F.col("model") == "tuned").select("metric", "value"),
-        comparison.comparison_table(measured, *MODELS),
-        overall,
-    )
+    overall = stage(review.rating_overall(review.rating_stats(review.explode_ratings(i.evaluations()))), "overall")
+    table = stage(comparison.comparison_table(measured, *MODELS), "comparison")
+    summaries = [
+        comparison.evaluation_summary(
+            i.predictions().filter(F.col("model") == m), measured.filter(F.col("model") == m).select("metric", "value"), table, overall
+        ).withColumn("summary_of", F.lit(m))
+        for m in MODELS
+    ]
+    return summaries[0].unionByName(summaries[1])
 
 
 @query
 def example_predictions(i: Inputs) -> DataFrame:
-    tuned = i.predictions().filter(F.col("model") == "tuned")
-    return comparison.example_predictions(tuned, 5)
+    shown = [comparison.example_predictions(i.predictions().filter(F.col("model") == m), 5) for m in MODELS]
+    return shown[0].unionByName(shown[1])
 
 
 @query
@@ -546,6 +521,36 @@ def answers_by_model(i: Inputs) -> DataFrame:
     return comparison.answers_by_model(answers, MODELS)
 
 
+# The training set as a whole
+
+
+@query
+def duplicate_inputs(i: Inputs) -> DataFrame:
+    return dataset.duplicate_inputs(_prepared(i))
+
+
+@query
+def coverage(i: Inputs) -> DataFrame:
+    return dataset.coverage(i.documents(), _prepared(i))
+
+
+@query
+def diversity(i: Inputs) -> DataFrame:
+    first_word = F.get(T.words(F.col("input_text")), 0).alias("template")
+    return dataset.diversity(_prepared(i).select("input_text", first_word))
+
+
+@query
+def relevance(i: Inputs) -> DataFrame:
+    return dataset.relevance(_prepared(i)).select(*IDENTITY, "relevance")
+
+
+@query
+def version_diff(i: Inputs) -> DataFrame:
+    """From all sampled examples to the valid ones."""
+    return dataset.version_diff(i.examples(), _prepared(i))
+
+
 # Monitoring
 
 
@@ -561,6 +566,13 @@ def metric_points(i: Inputs) -> DataFrame:
     return points.select(stamp("ts"), "metric", "endpoint_id", "status", "value_int", "value_double")
 
 
+@query
+def typed_points(i: Inputs) -> DataFrame:
+    values = {"failed": F.col("status") == "error", "request_length": F.length("request"), "usage": F.col("usage")}
+    points = monitoring.value_points(i.log(), values)
+    return points.select(stamp("ts"), "metric", "endpoint_id", F.col("value_bool").cast("int").alias("value_bool"), "value_int", "value_double")
+
+
 @query
 def prediction_metrics(i: Inputs) -> DataFrame:
     return monitoring.prediction_metrics(i.log(), START, END)
@@ -668,21 +680,6 @@ def training_schedule(i: Inputs) -> DataFrame:
     return trials.training_schedule(training_examples(i.documents(), separator=SEPARATOR), configs)
 
 
-# Scoring hook
-
-
-@query
-def score_batch(i: Inputs) -> DataFrame:
-    """A stand-in for a model: it answers with a multiple of the length of the prompt."""
-
-    def load():
-        return lambda prompts, given: [f"{p} {len(p) * given['factor']}" for p in prompts]
-
-    prompts = i.turns().select("id", T.qa_prompt(F.col("input")).alias("prompt"))
-    scored = scoring.score_batch(prompts, load, {"factor": 2})
-    return scored.select("id", T.answer_of(F.col("prediction")).alias("answer"))
-
-
 # Streams: each runs over what the table holds and returns what has been emitted
 
 

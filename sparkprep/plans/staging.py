@@ -70,10 +70,20 @@ def unstage(df: DataFrame) -> None:
 _STAGED: dict[str, SparkSession] = {}
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    """Delete a staged path on whatever file system it lies."""
+def _file_system(spark: SparkSession, path: str):
+    """The path and its file system, whichever it is."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hadoop, system = _file_system(spark, path)
+    return system.getFileStatus(hadoop).isDirectory()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop, system = _file_system(spark, path)
+    system.delete(hadoop, True)
     _STAGED.pop(path, None)
 
 

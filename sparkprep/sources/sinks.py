@@ -71,11 +71,6 @@ def publish_text(
 def manifest(
     spark: SparkSession, path: str, key: str = "split", pattern: str = "part-*"
 ) -> DataFrame:
-    """``split, uris``: the files below each ``split=…`` directory. Only listings are read."""
-    files = scan_files(spark, path, pattern, recursive=True).select("path")
-    found = F.regexp_extract("path", f"{key}=([^/]+)/", 1)
-    return (
-        files.withColumn(key, found)
-        .groupBy(key)
-        .agg(F.sort_array(F.collect_set("path")).alias("uris"))
-    )
+    """``split, uri``: a row for each file below a ``split=…`` directory. Only listings are read."""
+    files = scan_files(spark, path, pattern, recursive=True)
+    return files.select(F.regexp_extract("path", f"{key}=([^/]+)/", 1).alias(key), F.col("path").alias("uri"))

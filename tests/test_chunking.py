@@ -8,32 +8,42 @@ from sparkprep.functions.chunks import chunk_text, paragraphs
 from sparkprep.operators.chunking import chunk_documents, clean_chunks, render_chunks
 
 
-def expected_chunks(text, size, overlap, least):
-    """The rule in plain Python, over positions of a list of paragraphs."""
-    chunks, running = [], ""
-    for paragraph in filter(str.strip, text.split("\n\n")):
-        if len(running) >= least and len(running) + len(paragraph) > size:
-            chunks.append(running.strip())
-            running = (running[max(len(running) - overlap, 0) :] + "\n\n") if overlap else ""
-        running += paragraph + "\n\n"
-    return chunks + ([running.strip()] if len(running) >= least else [])
-
-
-def random_text(draw):
-    words = ["alpha", "béta", "γ", "delta.", " ", "\t", "longer-word"]
-    return "\n\n".join(
-        " ".join(draw.choices(words, k=draw.randint(0, 40))) for _ in range(draw.randint(0, 60))
-    )
+A, B, C, D = "a" * 60, "b" * 60, "c" * 60, "d" * 10
+
+
+@pytest.mark.parametrize(
+    "text, size, overlap, least, chunks",
+    [
+        ("", 100, 10, 1, []),
+        ("short", 100, 10, 30, []),  # too small to keep
+        ("\n\n \n\n", 100, 10, 1, []),
+        (A, 100, 10, 30, [A]),
+        (f"{A}\n\n{B}", 100, 10, 30, [A, f"{A[-8:]}\n\n\n\n{B}"]),  # the tail counts the blank line that follows
+        (f"{A}\n\n{B}", 200, 10, 30, [f"{A}\n\n{B}"]),
+        (f"{A}\n\n{B}", 100, 0, 30, [A, B]),
+        (f"{D}\n\n{A}\n\n{B}", 60, 0, 30, [f"{D}\n\n{A}", B]),  # not closed before it is large enough
+        (f"{A}\n\n\n\n{D}", 100, 10, 30, [f"{A}\n\n{D}"]),
+    ],
+)
+def test_cases_worked_by_hand(spark, text, size, overlap, least, chunks):
+    found = spark.range(1).select(chunk_text(F.lit(text), size, overlap, least)).first()[0]
+    assert found == chunks
 
 
 @pytest.mark.parametrize("size,overlap,least", [(1000, 200, 100), (120, 20, 30), (50, 80, 10), (200, 0, 1)])
-def test_matches_the_rule(spark, size, overlap, least):
+def test_nothing_is_lost_and_chunks_overlap(spark, size, overlap, least):
     draw = random.Random(size)
-    texts = ["", "short", "\n\n\n\n"] + [random_text(draw) for _ in range(60)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
-    found = df.select("doc_id", chunk_text(F.col("text"), size, overlap, least).alias("c")).collect()
-    for row in found:
-        assert row.c == expected_chunks(texts[row.doc_id], size, overlap, least)
+    texts = ["\n\n".join(f"p{i}." + "x" * draw.randint(0, 150) for i in range(draw.randint(1, 60))) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for row in df.select("doc_id", chunk_text(F.col("text"), size, overlap, least).alias("c")).collect():
+        parts = texts[row.doc_id].split("\n\n")
+        together = "\n\n".join(row.c)
+        places = [together.find(p.strip()) for p in parts]
+        kept = [p for p in places if p >= 0]
+        assert kept == sorted(kept) and places[: len(kept)] == kept  # in order, and only the end may be too small
+        assert all(len(c) >= least - 2 for c in row.c)
+        for a, b in zip(row.c, row.c[1:]):
+            assert b.startswith(a[-(overlap - 2) :].strip() if overlap else "p")
 
 
 def test_long_text_without_paragraphs(spark):

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 from sparkprep.operators import comparison as C
 from sparkprep.operators import review as R
 
-BASE = ["I think it is Paris.", "Shakespeare wrote it."]
-GOOD = ["The capital is Paris.", "William Shakespeare wrote it."]
+BASE = ["rain falls mostly in the hills", "two ships left"]
+GOOD = ["rain falls in the hills all winter", "two ships left the harbour at dawn"]
 
 
 def metric_table(spark, values):
@@ -47,13 +47,21 @@ def test_outputs(spark):
 
 
 def test_answers_and_examples(spark):
-    answers = predictions(spark).select("id", F.col("input").alias("question"), "model", F.col("prediction").alias("answer"))
-    wide = C.answers_by_model(answers, ["baseline", "fine-tuned"]).orderBy("question").collect()
-    assert [tuple(r) for r in wide] == [("q0", BASE[0], GOOD[0]), ("q1", BASE[1], GOOD[1])]
+    answers = predictions(spark).select("id", F.lit("same question").alias("question"), "model", F.col("prediction").alias("answer"))
+    wide = C.answers_by_model(answers, ["baseline", "fine-tuned"]).orderBy("id").collect()
+    assert [tuple(r) for r in wide] == [(i, "same question", BASE[i], GOOD[i]) for i in (0, 1)]
     shown = C.example_predictions(predictions(spark).filter("model = 'baseline'"), 1).collect()
     assert [r.id for r in shown] == [0]
 
 
+def test_no_output_of_a_model_is_lost(spark):
+    examples = spark.createDataFrame([(1, "q", "o")], "id int, input string, output string")
+    outputs = spark.createDataFrame([(1, "a", "y"), (1, "a", "x"), (1, "b", "z"), (1, "a", "x"), (1, "c", "w"), (1, "b", None)], "id int, model string, prediction string")
+    row = R.review_tasks(examples, outputs, ["a", "b"]).first()
+    assert row.model_outputs == {"a": "x", "b": "z"}
+    assert [tuple(r) for r in row.more_outputs] == [("a", "x"), ("a", "y")]
+
+
 def review(spark):
     examples = predictions(spark).filter("model = 'baseline'").select("id", "input", "output")
     models = ["baseline", "fine-tuned"]

@@ -100,23 +100,20 @@ def test_short_texts_have_no_bleu(spark):
 
 
 def test_classification(spark):
-    values = [("positive", "positive"), ("negative", "negative"), ("neutral", "positive")]
+    counts = {("red", "red"): 4, ("red", "blue"): 1, ("blue", "blue"): 2, ("blue", "green"): 2, ("green", "red"): 1}
+    values = [pair for pair, n in counts.items() for _ in range(n)]
     df = spark.createDataFrame([(label, label, p) for label, p in values], "output string, label string, prediction string")
     row = M.classification_metrics(df).first()
-    assert row.accuracy == pytest.approx(2 / 3) == row.recall
-    assert row.precision == pytest.approx((0.5 + 1 + 0) / 3)
-    assert row.f1 == pytest.approx((2 / 3 + 1 + 0) / 3)
-    assert {r["class"]: r.support for r in M.class_scores(M.confusion_matrix(df)).collect()} == {
-        "positive": 1,
-        "negative": 1,
-        "neutral": 1,
-    }
+    assert row.accuracy == pytest.approx(0.6) == row.recall
+    assert row.precision == pytest.approx((5 * 4 / 5 + 4 * 2 / 3 + 0) / 10)
+    assert row.f1 == pytest.approx((5 * 0.8 + 4 * 4 / 7 + 0) / 10)
+    assert {r["class"]: r.support for r in M.class_scores(M.confusion_matrix(df)).collect()} == {"red": 5, "blue": 4, "green": 1}
 
 
 def test_qa(spark):
-    values = [("q", "Paris", " paris\n"), ("q", "William Shakespeare", "Shakespeare"), ("q", "Jupiter", "Jupiter is the largest")]
+    values = [("q", "the old bridge", "THE OLD BRIDGE\t"), ("q", "in the old town", "old town"), ("q", "seven", "it is seven, not six"), ("q", "north", "south")]
     row = M.qa_metrics(rows(spark, values)).first()
-    assert row.exact_match == pytest.approx(1 / 3) and row.contains_answer == 1
+    assert row.exact_match == pytest.approx(1 / 4) and row.contains_answer == pytest.approx(3 / 4)
     blank = M.qa_metrics(rows(spark, [("q", "x", " "), ("q", "x", None)])).first()
     assert list(blank) == [0, 0]
 

@@ -4,7 +4,7 @@ from check_oracle import compare, connect
 from sparkprep.plans.oracle import ORACLE
 from sparkprep.plans.queries import QUERIES
 
-WITHOUT_SQL = {"scan_files", "quality_report"}
+WITHOUT_SQL = {"quality_report"}
 
 
 @pytest.fixture(scope="module")

@@ -40,14 +40,24 @@ def test_whitespace_list_is_complete():
 def test_subjects(spark):
     t = F.col("t")
     rows = evaluate(spark, T.first_sentence(t), T.drop_leading_stopword(T.first_sentence(t)), T.keywords(t))
-    for text, (sentence, subject, keywords) in zip(SAMPLES, rows):
-        expected = text.split(".")[0].strip()
-        assert sentence == expected
-        words = expected.split()
-        if words and words[0].lower() in T.LEADING_STOPWORDS:
-            expected = " ".join(words[1:])
-        assert subject == expected
-        assert keywords == " ".join(text.split()[:10])
+    assert [r[0] for r in rows] == [
+        "The quick fox", "An  apple\na day", "theory of everything", "the", "", "", "no stop \x1c here\u3000now",
+        "a b c d e f g h i j k l m", "", "In\u00a0Berlin wächst das Gras",
+    ]
+    assert [r[1] for r in rows] == [
+        "quick fox", "apple a day", "theory of everything", "", "", "", "no stop \x1c here\u3000now",
+        "b c d e f g h i j k l m", "", "Berlin wächst das Gras",
+    ]
+    assert [r[2] for r in rows] == [
+        "The quick fox. Jumps over", "An apple a day. Keeps", "theory of everything", "the", "", "", "no stop here now",
+        "a b c d e f g h i j", ". starts with a stop", "In Berlin wächst das Gras. Ja.",
+    ]
+
+
+def test_clean_text(spark):
+    dirty = "  a\u00a0\t b\x07c \r\n\r\n \n\n d\re\x7f \n"
+    assert spark.range(1).select(T.clean_text(F.lit(dirty))).first()[0] == "a bc\n\nd\ne"
+    assert spark.range(1).select(T.clean_text(F.lit(None).cast("string"))).first()[0] is None
 
 
 def test_templates_are_filled_by_key(spark):
