@@ -779,34 +779,37 @@ ORACLE: dict[str, str] = {
         FROM (SELECT count(*) AS n FROM valid), (SELECT unnest([2, 4, 8]) AS b)""",
         _PREPARE,
     ),
-    # streams: windows that are closed when the stream has been read
+    # streams: all windows and runs, and whether they are closed when the stream has been read
     "stream_metrics": _with(
         f"""SELECT {_ts('w')} AS window_start, {_ts("w + INTERVAL 1 DAY")} AS window_end, endpoint_id, status,
-          prediction_count, mean, min, max FROM (
+          prediction_count, mean, min, max, ({_closed(1).format('log')})::INTEGER AS final FROM (
           SELECT date_trunc('day', ts)::TIMESTAMP AS w, endpoint_id, status, count(*) AS prediction_count,
             round(avg(latency), 6) AS mean, round(min(latency), 6) AS min, round(max(latency), 6) AS max
-          FROM log GROUP BY ALL) WHERE {_closed(1).format('log')}""",
+          FROM log GROUP BY ALL)""",
         _LOG,
     ),
     "stream_error_alerts": _with(
         f"""SELECT {_ts('w')} AS window_start, {_ts("w + INTERVAL 2 DAY")} AS window_end, endpoint_id,
           requests, errors, round(errors / requests, 6) AS error_rate,
-          {_level('errors / requests', 0.05, 0.1)} AS level FROM (
+          {_level('errors / requests', 0.05, 0.1)} AS level, ({_closed(2).format('log')})::INTEGER AS final FROM (
           SELECT date_trunc('day', ts)::TIMESTAMP - INTERVAL (back) DAY AS w, endpoint_id, count(*) AS requests,
             count(*) FILTER (WHERE status = 'error') AS errors
-          FROM log, range(0, 2) r(back) GROUP BY ALL) WHERE {_closed(2).format('log')}""",
+          FROM log, range(0, 2) r(back) GROUP BY ALL)""",
         _LOG,
     ),
     "stream_feedback": _with(
         f"""SELECT {_ts('w')} AS window_start, {_ts("w + INTERVAL 1 DAY")} AS window_end, feedback_count,
-          mean, min, max FROM (
+          mean, min, max, approx_median, ({_closed(1).format('feedback')})::INTEGER AS final FROM (
           SELECT date_trunc('day', ts)::TIMESTAMP AS w, count(*) AS feedback_count,
-            round(avg(score), 6) AS mean, round(min(score), 6) AS min, round(max(score), 6) AS max
-          FROM feedback GROUP BY ALL) WHERE {_closed(1).format('feedback')}""",
+            round(avg(score), 6) AS mean, round(min(score), 6) AS min, round(max(score), 6) AS max,
+            round(quantile_disc(score, 0.5), 6) AS approx_median
+          FROM feedback GROUP BY ALL)""",
         _LOG,
     ),
     "stream_chunks": _with("SELECT doc_id, chunk_index, chunk FROM chunks", _PREPARE),
     "stream_failures": _with(
-        "SELECT endpoint_id, failures, first_ts, last_ts, level FROM streaks WHERE island < successes", _STREAKS
+        """SELECT endpoint_id, failures, first_ts, last_ts, level, (island = successes)::INTEGER AS open
+        FROM streaks""",
+        _STREAKS,
     ),
 }

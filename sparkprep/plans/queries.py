@@ -693,20 +693,29 @@ def _stamped(df: DataFrame) -> DataFrame:
     return df.select(*(stamp(c) if t == "timestamp" else c for c, t in df.dtypes))
 
 
+def _windows(i: Inputs, result: DataFrame, keys: list[str], entries: DataFrame, label: str) -> DataFrame:
+    """All windows; ``final`` are those that end before the watermark."""
+    found = monitor.run_windows(result, keys, staging_path(i.spark, label), staging_path(i.spark, f"{label}-progress"))
+    bound = entries.agg(F.max("ts") - F.expr("INTERVAL 10 MINUTES")).scalar()
+    return _stamped(found.withColumn("final", (F.col("window_end") <= bound).cast("int")))
+
+
 @query
 def stream_metrics(i: Inputs) -> DataFrame:
-    return _stamped(_emitted(i, monitor.windowed_metrics(i.log(i.stream("events"))), "metrics"))
+    result = monitor.windowed_metrics(i.log(i.stream("events")))
+    return _windows(i, result, ["window_start", "window_end", "endpoint_id", "status"], i.log(), "metrics")
 
 
 @query
 def stream_error_alerts(i: Inputs) -> DataFrame:
-    return _stamped(_emitted(i, monitor.error_rate_alerts(i.log(i.stream("events"))), "alerts"))
+    result = monitor.error_rate_alerts(i.log(i.stream("events")))
+    return _windows(i, result, ["window_start", "window_end", "endpoint_id"], i.log(), "alerts")
 
 
 @query
 def stream_feedback(i: Inputs) -> DataFrame:
-    windows = monitor.feedback_windows(i.feedback(i.stream("events")))
-    return _stamped(_emitted(i, windows, "feedback").drop("approx_median"))
+    result = monitor.feedback_windows(i.feedback(i.stream("events")))
+    return _windows(i, result, ["window_start", "window_end"], i.feedback(), "feedback")
 
 
 @query
@@ -719,5 +728,5 @@ def stream_chunks(i: Inputs) -> DataFrame:
 def stream_failures(i: Inputs) -> DataFrame:
     streaks, state, progress = (staging_path(i.spark, n) for n in ("streaks", "open", "streak-progress"))
     monitor.track_failures(i.log(i.stream("events")), streaks, state, progress).awaitTermination()
-    finished = i.spark.read.schema(f"{monitor.STREAK}, level string").parquet(streaks)
-    return _stamped(finished.drop("batch"))
+    found = monitor.all_failures(i.spark, streaks, state)
+    return _stamped(found.withColumn("open", F.col("open").cast("int")))

@@ -64,7 +64,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def unstage(df: DataFrame) -> None:
     """Delete the files below a result of :func:`stage` that nothing will read again."""
     for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
-        _delete(df.sparkSession, path)
+        delete(df.sparkSession, path)
 
 
 _STAGED: dict[str, SparkSession] = {}
@@ -81,7 +81,8 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return system.getFileStatus(hadoop).isDirectory()
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder."""
     hadoop, system = _file_system(spark, path)
     system.delete(hadoop, True)
     _STAGED.pop(path, None)
@@ -90,4 +91,4 @@ def _delete(spark: SparkSession, path: str) -> None:
 def _clear() -> None:
     for path, spark in list(_STAGED.items()):
         if spark.sparkContext._jsc is not None:
-            _delete(spark, path)
+            delete(spark, path)

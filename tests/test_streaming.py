@@ -55,12 +55,47 @@ def test_sliding_alerts(spark, tmp_path):
     assert len(rows) >= 8 and all(r.level == "critical" for r in rows)
 
 
-def test_feedback_median_is_close(spark, data):
+def test_feedback_median_is_close(spark, data, tmp_path):
     i = Inputs(spark, data)
-    batch = i.feedback()
-    whole = batch.groupBy(F.window("ts", "1 day").start.alias("w")).agg(F.median("score").alias("m"))
-    exact = {r.w: r.m for r in whole.collect()}
-    assert exact and monitor.feedback_windows(i.feedback(i.stream("events"))).isStreaming
+    whole = i.feedback().groupBy(F.window("ts", "1 day").start.alias("w")).agg(F.sort_array(F.collect_list("score")).alias("scores"))
+    scores = {r.w: r.scores for r in whole.collect()}
+    result = monitor.feedback_windows(i.feedback(i.stream("events")))
+    found = monitor.run_windows(result, ["window_start", "window_end"], str(tmp_path / "out"), str(tmp_path / "c")).collect()
+    assert {r.window_start for r in found} == set(scores)
+    for r in found:
+        own = scores[r.window_start]
+        assert r.approx_median == (own[(len(own) - 1) // 2] if own else None)
+
+
+def test_open_windows_take_their_last_state(spark, tmp_path):
+    write_in_turn(spark, tmp_path / "in", [[entry(1, 0), entry(2, 30)], [entry(3, 40), entry(4, 90)]])
+    result = monitor.windowed_metrics(stream(spark, tmp_path / "in"), "1 hour", "2 hours")
+    keys = ["window_start", "window_end", "endpoint_id", "status"]
+    found = monitor.run_windows(result, keys, str(tmp_path / "out"), str(tmp_path / "c")).collect()
+    assert {(r.window_start, r.prediction_count) for r in found} == {(START, 3), (START + timedelta(hours=1), 1)}
+
+
+def test_tables_may_be_files_or_folders(spark, data, tmp_path):
+    from sparkprep.plans.queries import QUERIES
+
+    for name in ("events", "documents"):
+        spark.read.parquet(f"{data}/{name}.parquet").repartition(3).write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name in ("stream_metrics", "stream_error_alerts", "stream_feedback", "stream_chunks", "stream_failures"):
+        file, folder = QUERIES[name](spark, data), QUERIES[name](spark, str(tmp_path))
+        assert sorted(map(repr, file.collect())) == sorted(map(repr, folder.collect())) != [], name
+
+
+def test_late_entries_join_their_runs(spark, tmp_path):
+    """Batches that overlap in time give the runs of the batch operator."""
+    rows = [entry(n, n, "error" if n in (2, 3, 4, 5, 30, 31) else "success") for n in range(32)]
+    parts = [[rows[k] for k in (0, 2, 4, 6)], [rows[k] for k in (1, 3, 5, 7)], rows[8:]]
+    write_in_turn(spark, tmp_path / "in", parts)
+    paths = [str(tmp_path / n) for n in ("streaks", "state", "c")]
+    monitor.track_failures(stream(spark, tmp_path / "in"), *paths).awaitTermination()
+    found = {(r.first_ts, r.failures, r.level, r.open) for r in monitor.all_failures(spark, *paths[:2]).collect()}
+    at = lambda n: START + timedelta(minutes=n)
+    assert found == {(at(2), 4, "critical", False), (at(30), 2, "warning", True)}
+    assert {p.name for p in (tmp_path / "state").glob("batch=*")} == {"batch=1", "batch=2"}
 
 
 def test_failure_runs_across_batches(spark, tmp_path):
@@ -72,15 +107,11 @@ def test_failure_runs_across_batches(spark, tmp_path):
     write_in_turn(spark, tmp_path / "in", parts)
     paths = [str(tmp_path / n) for n in ("streaks", "state", "c")]
     monitor.track_failures(stream(spark, tmp_path / "in"), *paths).awaitTermination()
-    done = spark.read.schema(f"{monitor.STREAK}, level string").parquet(paths[0]).drop("batch")
-    found = {(r.endpoint_id, r.first_ts, r.last_ts, r.failures, r.level) for r in done.collect()}
-    last = max(int(p.name.split("=")[1]) for p in (tmp_path / "state").glob("batch=*"))
-    open_runs = spark.read.schema(monitor.STREAK).parquet(f"{paths[1]}/batch={last}").collect()
-    still = {(r.endpoint_id, r.first_ts) for r in open_runs}
-    everything = expected_streaks(spark.createDataFrame(rows, LOG).collect())
-    assert last == 3
-    assert found == {s for s in everything if (s[0], s[1]) not in still}
-    assert {(s[0], s[1]) for s in everything} == still | {(s[0], s[1]) for s in found}
+    rows_found = monitor.all_failures(spark, *paths[:2]).collect()
+    found = {(r.endpoint_id, r.first_ts, r.last_ts, r.failures, r.level) for r in rows_found}
+    assert found == set(expected_streaks(spark.createDataFrame(rows, LOG).collect())) and len(found) == len(rows_found)
+    last = {f"e{k}": max((r for r in rows if r[2] == f"e{k}"), key=lambda r: r[1])[4] for k in (0, 1)}
+    assert {r.endpoint_id for r in rows_found if r.open} == {e for e, status in last.items() if status == "error"}
 
 
 def test_arriving_files_are_chunked(spark, tmp_path):
