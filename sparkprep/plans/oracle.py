@@ -333,6 +333,20 @@ _STATS_LONG = f"""
 
 ORACLE: dict[str, str] = {
     # sources and sinks
+    "published_files": _with("SELECT path, length, md5(text) AS content_md5 FROM files", _FILES),
+    "chunk_table": _with("SELECT doc_id, chunk_index, chunk FROM chunks", _PREPARE),
+    "structure_table": _with(
+        f"""SELECT doc_id, source AS author, len(string_split(text, {NL}))::INTEGER AS pages,
+        coalesce((SELECT count(*) FROM heads h WHERE h.doc_id = d.doc_id), 0)::INTEGER AS headings,
+        coalesce((SELECT count(*) FROM heads h WHERE h.doc_id = d.doc_id), 0)::INTEGER AS sections FROM documents d""",
+        _PAGES,
+    ),
+    "evaluation_output": _with(
+        """SELECT model, metric, round(value, 6) AS value FROM text_metrics
+        UNION ALL SELECT model, 'rows', count(*)::DOUBLE FROM predictions GROUP BY model""",
+        _TURNS,
+        _metrics("predictions"),
+    ),
     "assemble_pages": f"""SELECT doc_id,
         array_to_string(list_filter(string_split(text, {NL}), lambda t: t <> ''), {NL} || {NL}) AS text
         FROM documents""",

@@ -42,6 +42,49 @@ def stamp(column: str) -> Column:
 # Sources and sinks
 
 
+@query
+def published_files(i: Inputs) -> DataFrame:
+    """Documents written as files, copied to another place, and scanned there."""
+    first, second = staging_path(i.spark, "files"), staging_path(i.spark, "published")
+    sinks.write_files(i.files(), first)
+    sinks.publish_files(i.spark, first, second, "*.pdf", recursive=True)
+    found = files.scan_files(i.spark, second, "*.pdf", recursive=True)
+    return found.select(F.regexp_extract("path", "/corpus/.*", 0).alias("path"), "length", F.md5("content").alias("content_md5"))
+
+
+@query
+def chunk_table(i: Inputs) -> DataFrame:
+    path = staging_path(i.spark, "chunks")
+    sinks.write_chunks(chunking.chunk_documents(i.documents(), separator=SEPARATOR), path)
+    return i.spark.read.parquet(path)
+
+
+@query
+def structure_table(i: Inputs) -> DataFrame:
+    """Metadata and headings of each document, read back from the JSON that was written."""
+    path = staging_path(i.spark, "structures")
+    described = i.paged().select("doc_id", F.col("source").alias("author"), "pages")
+    sinks.write_structure(structure.document_structure(described, SHORT_LINE), path)
+    read = lambda field: F.get_json_object("structure", f"$.{field}")
+    return i.spark.read.parquet(path).select(
+        "doc_id",
+        read("metadata.author").alias("author"),
+        read("metadata.pages").cast("int").alias("pages"),
+        F.json_array_length(read("toc")).alias("headings"),
+        F.json_array_length(read("sections")).alias("sections"),
+    )
+
+
+@query
+def evaluation_output(i: Inputs) -> DataFrame:
+    """Metrics and the number of predictions, read back from what was written."""
+    path = staging_path(i.spark, "evaluation")
+    sinks.write_evaluation(comparison.model_metrics(i.predictions()), i.predictions(), path)
+    rows = i.spark.read.json(f"{path}/predictions").groupBy("model").agg(F.count("*").cast("double").alias("value"))
+    read = i.spark.read.json(f"{path}/metrics").select("model", "metric", "value")
+    return read.unionByName(rows.withColumn("metric", F.lit("rows")))
+
+
 @query
 def assemble_pages(i: Inputs) -> DataFrame:
     return i.paged().select("doc_id", structure.assemble_pages(F.col("pages")).alias("text"))

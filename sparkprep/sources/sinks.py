@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import logging
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.operators.chunking import render_chunks
@@ -27,27 +31,26 @@ def write_splits(examples: DataFrame, path: str, format: str = "jsonl") -> None:
 
 
 def write_rendered(documents: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """One text per document with its ``chunks`` (an array) below numbered headers."""
-    rendered = documents.select(doc_id, render_chunks(F.col("chunks")).alias("value"))
-    rendered.write.partitionBy(doc_id).text(path)
+    """``doc_id, rendered``: each document's ``chunks`` (an array) below numbered headers, sorted by document.
 
+    For single files, give the rows to :func:`write_files`.
+    """
+    rendered = documents.select(doc_id, render_chunks(F.col("chunks")).alias("rendered"))
+    rendered.repartitionByRange(doc_id).sortWithinPartitions(doc_id).write.parquet(path)
 
-def write_chunk_files(chunks: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """One file per chunk below ``doc_id=…/chunk_index=…``.
 
-    For tools that need single files; keep large sets in a table.
-    """
-    chunks.select(doc_id, "chunk_index", F.col("chunk").alias("value")).write.partitionBy(
-        doc_id, "chunk_index"
-    ).text(path)
+def write_chunks(chunks: DataFrame, path: str, doc_id: str = "doc_id") -> None:
+    """A table of chunks, sorted, so that a document's chunks are read from few row groups."""
+    order = [doc_id, "chunk_index"]
+    chunks.select(*order, "chunk").repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
 
 
 def write_structure(structure: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """A JSON document of metadata, toc and sections per source document."""
+    """``doc_id, structure``: a JSON document of metadata, toc and sections per source document, sorted."""
     body = F.to_json(
         F.struct("metadata", "toc", "sections"), {"ignoreNullFields": "false"}
-    ).alias("value")
-    structure.select(doc_id, body).write.partitionBy(doc_id).text(path)
+    ).alias("structure")
+    structure.select(doc_id, body).repartitionByRange(doc_id).sortWithinPartitions(doc_id).write.parquet(path)
 
 
 def write_evaluation(metrics: DataFrame, predictions: DataFrame, path: str) -> None:
@@ -56,16 +59,38 @@ def write_evaluation(metrics: DataFrame, predictions: DataFrame, path: str) -> N
     predictions.write.json(f"{path}/predictions")
 
 
-def publish_text(
-    spark: SparkSession, source: str, target: str, pattern: str = "*", recursive: bool = False
-) -> None:
-    """Copy the lines of matching text files to another store."""
-    (
-        spark.read.option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .text(source)
-        .write.text(target)
-    )
+def write_files(files: DataFrame, target: str) -> int:
+    """Write rows ``path, content`` as single files below ``target``; returns their number.
+
+    ``path`` is relative to the target. The tasks write through Arrow's file systems, which
+    reach local and shared folders and the common object stores. A task that runs again
+    replaces its files. Rows without path or content are left out.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        local = target.startswith("file:")
+        system, base = fs.FileSystem.from_uri("/" + target[5:].lstrip("/") if local else target)
+        for batch in batches:
+            for path, content in zip(*(c.to_pylist() for c in batch.columns)):
+                place = f"{base}/{path.lstrip('/')}"
+                system.create_dir(place.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(place) as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    rows = files.select("path", F.col("content").cast("binary").alias("content")).dropna()
+    return rows.mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def publish_files(spark: SparkSession, source: str, target: str, pattern: str = "*", recursive: bool = False) -> int:
+    """Copy matching files, text or binary, to another store under their names and folders.
+
+    Spark's file scan leaves out empty files, and so does this.
+    """
+    found = scan_files(spark, source, pattern, recursive).select("path", "content")
+    root = re.sub("^[a-z0-9]+:/*", "/", source).rstrip("/") + "/"
+    relative = F.substring_index(F.col("path"), root, -1)
+    return write_files(found.withColumn("path", relative), target)
 
 
 def manifest(

@@ -31,7 +31,9 @@ def test_splits_round_trip_and_manifest(spark, tmp_path):
     sinks.write_splits(rows, str(tmp_path / "a"))
     back = jsonl.read_splits(spark, str(tmp_path / "a")).select(rows.columns)
     assert back.exceptAll(rows).count() == rows.exceptAll(back).count() == 0
-    listed = {r.split: r.uris for r in sinks.manifest(spark, str(tmp_path / "a")).collect()}
+    listed = {}
+    for r in sinks.manifest(spark, str(tmp_path / "a")).collect():
+        listed.setdefault(r.split, []).append(r.uri)
     assert set(listed) == {"train", "test"} and all(u.startswith("file:") for us in listed.values() for u in us)
     sinks.write_splits(rows, str(tmp_path / "b"), "unknown")
     assert list((tmp_path / "b").glob("split=train/*.json"))
@@ -84,20 +86,29 @@ def test_listing_reads_no_content(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("d1", ["one", "two"]), ("d2", ["x"])], "doc_id string, chunks array<string>")
     sinks.write_rendered(docs, str(tmp_path / "r"))
-    text = next((tmp_path / "r" / "doc_id=d1").glob("*.txt")).read_text()
+    text = spark.read.parquet(str(tmp_path / "r")).filter("doc_id = 'd1'").first().rendered
     assert text.startswith("--- Chunk 1 ---\none\n\n--- Chunk 2 ---\ntwo")
     chunks = docs.select("doc_id", F.posexplode("chunks").alias("chunk_index", "chunk"))
-    sinks.write_chunk_files(chunks, str(tmp_path / "c"))
-    assert len(list((tmp_path / "c").glob("doc_id=*/chunk_index=*/*.txt"))) == 3
+    sinks.write_chunks(chunks, str(tmp_path / "c"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "c")).orderBy("doc_id", "chunk_index").collect()] == [("d1", 0, "one"), ("d1", 1, "two"), ("d2", 0, "x")]
     paged = docs.select("doc_id", pages_of(F.lit("Title\nbody.")).alias("pages"))
     sinks.write_structure(document_structure(paged), str(tmp_path / "s"))
-    body = json.loads(next((tmp_path / "s" / "doc_id=d1").glob("*.txt")).read_text())
+    body = json.loads(spark.read.parquet(str(tmp_path / "s")).filter("doc_id = 'd1'").first().structure)
     assert set(body) == {"metadata", "toc", "sections"} and body["sections"][0]["end_page"] is None
     metrics = spark.createDataFrame([("bleu", 0.5)], "metric string, value double")
     sinks.write_evaluation(metrics, docs, str(tmp_path / "e"))
     assert spark.read.json(str(tmp_path / "e" / "metrics")).first().value == 0.5
-    sinks.publish_text(spark, str(tmp_path / "r"), str(tmp_path / "p"), "*.txt", recursive=True)
-    assert spark.read.text(str(tmp_path / "p")).filter("value LIKE '--- Chunk%'").count() == 3
+
+
+def test_files_keep_names_folders_and_bytes(spark, tmp_path):
+    contents = {"a/one.bin": bytes(range(256)), "a/b/two.txt": "é\n".encode(), "three.bin": b"3"}
+    rows = spark.createDataFrame([*contents.items(), ("null.bin", None), (None, b"x")], "path string, content binary")
+    assert sinks.write_files(rows, f"file:{tmp_path}/in") == 3
+    assert sinks.publish_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), "*.bin", recursive=True) == 2
+    assert sinks.publish_files(spark, f"file://{tmp_path}/in/a", str(tmp_path / "flat")) == 1
+    read = lambda folder: {str(f.relative_to(tmp_path / folder)): f.read_bytes() for f in (tmp_path / folder).rglob("*") if f.is_file()}
+    assert read("in") == contents and read("out") == {k: v for k, v in contents.items() if k.endswith("bin")}
+    assert read("flat") == {"one.bin": contents["a/one.bin"]}
 
 
 def test_parser_failures_are_set_aside(spark):
