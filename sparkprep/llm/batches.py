@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -78,7 +78,7 @@ def _tables(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
     """A 64-bit hash of each word's bytes, the same in every batch and task."""
-    size = 1 << max(22, int(len(raw)).bit_length())
+    size = 1 << max(20, int(len(raw)).bit_length())
     values, powers, inverse = _tables(seed, size)
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(values[raw] * powers[: len(raw)], out=sums[1:])

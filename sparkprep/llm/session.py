@@ -6,7 +6,7 @@ import gc
 
 from pyspark.sql import SparkSession
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:

@@ -88,7 +88,7 @@ class Counter:
         self.tokenizer = Tokenizer.from_str(definition)
         self.letters = Letters(self.tokenizer)
         self.pieces = Memo(lambda word: self.match.count(word + self.end))
-        self.words = Memo(self._word, 500_000)
+        self.words = Memo(self._word, 250_000)
 
     def split(self, text: str) -> list[str]:
         normal = self.tokenizer.normalizer.normalize_str(text)

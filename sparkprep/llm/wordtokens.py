@@ -56,8 +56,8 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.letters = Letters(self.tokenizer)
-        self.cores = Memo(self._core)
-        self.words = Memo(self._word, 500_000)
+        self.cores = Memo(self._core, 150_000)
+        self.words = Memo(self._word, 250_000)
 
     def _core(self, word: str) -> bytes:
         symbols = self.letters.symbols(word)
