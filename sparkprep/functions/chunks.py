@@ -75,6 +75,23 @@ def chunk_text(
     ``split_long`` it is cut first, a chunk never exceeds ``chunk_size``, and
     ``min_length`` applies to the rest only.
     """
+    spans = chunk_spans(text, chunk_size, overlap, min_length, separator, split_long)
+    return F.transform(spans, lambda s: s["chunk"])
+
+
+def chunk_spans(
+    text: Column,
+    chunk_size: int = 1000,
+    overlap: int = 200,
+    min_length: int = 100,
+    separator: str = "\n\n",
+    split_long: bool = False,
+) -> Column:
+    """The chunks of :func:`chunk_text` as ``array<struct<chunk, piece>>``.
+
+    ``piece`` is the number, from 1, of the paragraph with which a chunk's own text begins,
+    after what it carries over. With ``split_long`` it numbers the cut paragraphs.
+    """
     pieces = paragraphs(text, separator)
     if split_long:
         width = chunk_size - overlap - len(JOINER)
@@ -85,17 +102,21 @@ def chunk_text(
     def finished(running: Column) -> Column:
         return F.rtrim(running, F.lit(WHITESPACE)) if split_long else strip(running)
 
-    no_texts = F.array().cast("array<string>")
+    no_chunks = F.array().cast("array<struct<chunk:string,piece:int>>")
+
+    def state(chunks: Column, running: Column, size: Column, piece: Column, count: Column) -> Column:
+        parts = {"chunks": chunks, "running": running, "size": size, "piece": piece, "count": count}
+        return F.struct(*(value.alias(name) for name, value in parts.items()))
 
-    def state(chunks: Column, running: Column, size: Column) -> Column:
-        return F.struct(chunks.alias("chunks"), running.alias("running"), size.alias("size"))
+    def closed(now: Column) -> Column:
+        return F.array(F.struct(finished(now["running"]).alias("chunk"), now["piece"].alias("piece")))
 
     def add(now: Column, piece: Column) -> Column:
         grown = F.length(piece) + len(JOINER)
         must_close = (now["size"] + F.length(piece) > chunk_size) & (
             now["size"] >= (1 if split_long else min_length)
         )
-        chunks = F.concat(now["chunks"], F.array(finished(now["running"])))
+        chunks, count = F.concat(now["chunks"], closed(now)), now["count"] + 1
         if overlap <= 0:
             carry, carry_size = F.lit(""), F.lit(0)
         else:
@@ -104,29 +125,30 @@ def chunk_text(
             source_size = F.length(source) if split_long else now["size"]
             carry_size = F.least(source_size, F.lit(overlap)) + len(JOINER)
         return F.when(
-            must_close, state(chunks, F.concat(carry, piece, F.lit(JOINER)), carry_size + grown)
+            must_close, state(chunks, F.concat(carry, piece, F.lit(JOINER)), carry_size + grown, count, count)
         ).otherwise(
             state(
                 now["chunks"],
                 F.concat(now["running"], piece, F.lit(JOINER)),
                 now["size"] + grown,
+                now["piece"],
+                count,
             )
         )
 
     def add_block(now: Column, block: Column) -> Column:
         """Fold a block into a list of its own and append that list."""
-        start = state(no_texts, now["running"], now["size"])
+        start = state(no_chunks, *(now[c] for c in ("running", "size", "piece", "count")))
         return bind(
             F.aggregate(block, start, add),
             lambda done: state(
-                F.concat(now["chunks"], done["chunks"]), done["running"], done["size"]
+                F.concat(now["chunks"], done["chunks"]), *(done[c] for c in ("running", "size", "piece", "count"))
             ),
         )
 
     def close(now: Column) -> Column:
-        rest = F.when(
-            now["size"] >= min_length, F.array(finished(now["running"]))
-        ).otherwise(no_texts)
+        rest = F.when(now["size"] >= min_length, closed(now)).otherwise(no_chunks)
         return F.concat(now["chunks"], rest)
 
-    return F.aggregate(_blocks(pieces), state(no_texts, F.lit(""), F.lit(0)), add_block, close)
+    empty = state(no_chunks, F.lit(""), F.lit(0), F.lit(1), F.lit(0))
+    return F.aggregate(_blocks(pieces), empty, add_block, close)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sparkprep.functions.bind import bind
+from sparkprep.functions.chunks import chunk_spans, paragraphs
 from sparkprep.functions.text import strip
 
 METADATA_FIELDS = (
@@ -140,6 +141,32 @@ def section_chunks(
     return documents.select(doc_id, F.inline(rows))
 
 
+def chunk_sections(
+    documents: DataFrame, pattern: str = HEADING, doc_id: str = "doc_id", pages: str = "pages", separator: str = "\n\n", **chunking
+) -> DataFrame:
+    """Assign each chunk of a document to a section: ``doc_id, chunk_index, section_no, title``.
+
+    The document's text is its pages' texts joined by ``separator``, its chunks are those of
+    :func:`chunk_spans` (``chunking``: its sizes). A chunk belongs to the section of the page
+    on which its own text begins; before the first heading that is section 0 without a
+    title. All of it happens inside the row.
+    """
+    text = F.array_join(F.transform(pages, lambda p: F.coalesce(p["text"], F.lit(""))), separator)
+    owners = F.flatten(
+        F.transform(pages, lambda p: F.array_repeat(p["page_no"], F.size(F.coalesce(paragraphs(p["text"], separator), F.array()))))
+    )
+    rows = documents.select(
+        doc_id,
+        sections(F.col(pages), pattern).alias("_sections"),
+        owners.alias("_owners"),
+        F.posexplode(chunk_spans(text, separator=separator, **chunking)).alias("_i", "_chunk"),
+    )
+    page = F.get("_owners", F.col("_chunk")["piece"] - 1)
+    number = F.size(F.filter("_sections", lambda s: s["start_page"] <= page))
+    title = F.get("_sections", number - 1)["title"].alias("title")
+    return rows.select(doc_id, (F.col("_i") + 1).alias("chunk_index"), number.alias("section_no"), title)
+
+
 def document_structure(
     documents: DataFrame, pattern: str = HEADING, doc_id: str = "doc_id", pages: str = "pages"
 ) -> DataFrame:

@@ -461,6 +461,18 @@ ORACLE: dict[str, str] = {
           AND p.page_no >= h.start_page AND (p.page_no <= h.end_page OR h.end_page IS NULL)""",
         _PAGES,
     ),
+    "chunk_sections": _with(
+        """SELECT filled.doc_id, chunk_index, coalesce(section_no, 0)::INTEGER AS section_no, title
+        FROM (SELECT doc_id, (row_number() OVER chunk_order)::INTEGER AS chunk_index,
+            coalesce(lag(pos) OVER chunk_order, 1) AS n
+          FROM closed WINDOW chunk_order AS (PARTITION BY doc_id ORDER BY pos))
+        JOIN filled USING (doc_id, n) ASOF LEFT JOIN heads ON heads.doc_id = filled.doc_id
+          AND filled.page_no >= heads.start_page""",
+        _PREPARE,
+        _PAGES,
+        f"""filled AS (SELECT doc_id, page_no, row_number() OVER (PARTITION BY doc_id ORDER BY page_no) AS n
+          FROM pages WHERE {_strip('text')} <> '')""",
+    ),
     # sampling and splits
     "sample_chunks": _with("SELECT doc_id, chunk_index, chunk, sample_rank, kind FROM sampled", _PREPARE),
     "split_exact": """SELECT doc_id, CASE WHEN r <= floor(n::DOUBLE * 0.8::DOUBLE) THEN 'train'

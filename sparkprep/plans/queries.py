@@ -335,6 +335,11 @@ def section_chunks(i: Inputs) -> DataFrame:
     return structure.section_chunks(i.paged(), SHORT_LINE)
 
 
+@query
+def chunk_sections(i: Inputs) -> DataFrame:
+    return structure.chunk_sections(i.paged(), SHORT_LINE, separator=SEPARATOR)
+
+
 # Sampling and splits
 
 

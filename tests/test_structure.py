@@ -55,3 +55,19 @@ def test_entities(spark):
     )
     found = df.select(S.entity_spans(F.col("text"), F.col("e"))).first()[0]
     assert [tuple(f) for f in found] == [("PERSON", "Ada", 0.9), ("PERSON", "Bob", 0.5)]
+
+
+def test_chunks_belong_to_the_section_they_begin_in(spark):
+    from sparkprep.operators.structure import chunk_sections
+
+    pages = [(1, "before any heading " + "x" * 60), (2, "Title One"), (3, "a" * 80), (4, ""), (5, "b" * 80), (6, "Title Two"), (7, "c" * 80)]
+    df = spark.createDataFrame([(9, pages), (8, []), (7, [(1, "d" * 50)])], "doc_id int, pages array<struct<page_no:int,text:string>>")
+    rows = chunk_sections(df, "^Title", chunk_size=100, overlap=0, min_length=40).collect()
+    found = {(r.doc_id, r.chunk_index): (r.section_no, r.title) for r in rows}
+    assert found == {
+        (9, 1): (0, None),  # before the first heading, and its heading still fits
+        (9, 2): (1, "Title One"),
+        (9, 3): (1, "Title One"),
+        (9, 4): (2, "Title Two"),
+        (7, 1): (0, None),
+    }
