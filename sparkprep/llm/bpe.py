@@ -44,10 +44,10 @@ class Encoder:
         self.split = regex.compile(pattern).findall
         self.space = regex.compile(r"^\s|\s$|^$").search
         self.growth = Memo(self._growth, len(ranks))
-        self.follows = Memo(self._follows, 300_000)
-        self.pieces = Memo(self._piece, 50_000)
-        self.letters = Memo(lambda word: self._piece(" " + word), 400_000)
-        self.spaced = Memo(self._spaced, 400_000)
+        self.follows = Memo(self._follows, 250_000)
+        self.pieces = Memo(self._piece, 30_000)
+        self.letters = Memo(lambda word: self._piece(" " + word), 180_000)
+        self.spaced = Memo(self._spaced, 150_000)
 
     @cached_property
     def trie(self) -> dict:
@@ -78,17 +78,19 @@ class Encoder:
             return None
         return list(dict.fromkeys(s[-1] for s in steps)), list(dict.fromkeys(s[0] for s in steps))
 
-    def _follows(self, pair: tuple[int, int]) -> bool:
+    def _follows(self, pair: int) -> bool:
         """Whether the second token stays behind the first (-1: the start) when both are encoded as one.
 
+        A pair is one number, ``(first + 1 << 24) | second``, which takes little room in the table.
+
         The parts at the border grow in the order of their ranks. The tokens stay apart unless
         at some moment the pair across the border is a token that comes before the next growth
         on either side; of equal ranks the left one is merged first.
         """
-        second = self.growth[pair[1]]
-        if pair[0] < 0 or second is None:
+        before, second = (pair >> 24) - 1, self.growth[pair & 0xFFFFFF]
+        if before < 0 or second is None:
             return second is not None
-        left, right, ranks, never = self.growth[pair[0]][0], second[1], self.ranks, 1 << 60
+        left, right, ranks, never = self.growth[before][0], second[1], self.ranks, 1 << 60
         i = j = 0
         while True:
             left_next = ranks[left[i + 1]] if i + 1 < len(left) else never
@@ -161,12 +163,12 @@ class PrefixTable:
         """Enter the tokens that begin at ``begin`` up to ``end`` where a prefix has no last token yet."""
         data, last, follows, trie, size = self.data, self.last, self.encoder.follows, self.encoder.trie, len(self.data)
         for start in range(begin, end):
-            node, before = trie, last[start]
+            node, before = trie, last[start] + 1 << 24
             for at in range(start, size):
                 node = node.get(data[at])
                 if node is None:
                     break
-                if last[at + 1] < 0 and END in node and follows[before, node[END]]:
+                if last[at + 1] < 0 and END in node and follows[before | node[END]]:
                     last[at + 1] = node[END]
 
     def replace(self, begin: int, end: int, new: bytes) -> int:
