@@ -128,6 +128,19 @@ def quality_ratings(metrics: DataFrame) -> DataFrame:
     )
 
 
+def quality_report_rows(stats: DataFrame) -> DataFrame:
+    """``section, name, measure, value``: the same contents as :func:`quality_report`, as a table.
+
+    ``stats`` is the result of :func:`length_stats`; it is read twice.
+    """
+    values = [F.col(m).cast("double").alias(m) for m in MEASURES]
+    name = F.concat_ws("/", "split", "field").alias("name")
+    lengths = stats.select(F.lit("stats").alias("section"), name, *values).unpivot(["section", "name"], list(MEASURES), "measure", "value")
+    measured = quality_metrics(stats)
+    metrics = measured.select(F.lit("metrics").alias("section"), *measured.columns).unpivot("section", measured.columns, "name", "value")
+    return lengths.unionByName(metrics.select("section", "name", F.lit("value").alias("measure"), "value"))
+
+
 def quality_report(examples: DataFrame) -> DataFrame:
     """One row with a JSON document of the statistics and the metrics."""
     stats = length_stats(examples)

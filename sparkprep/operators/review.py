@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from sparkprep.functions.stats import exact_median
+
 LIKERT, BINARY = "likert", "binary"
 
 
@@ -78,16 +80,15 @@ def explode_ratings(evaluations: DataFrame) -> DataFrame:
 
 
 def rating_stats(ratings: DataFrame) -> DataFrame:
-    """``model, criterion, count, mean, median, std`` of long ratings.
-
-    Ratings come from short scales, so the exact median is compact.
-    """
-    return ratings.groupBy("model", "criterion").agg(
+    """``model, criterion, count, mean, median, std`` of long ratings; the median is exact on any scale."""
+    keys = ["model", "criterion"]
+    measured = ratings.groupBy(*keys).agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),
-        F.median("value").alias("median"),
         F.coalesce(F.stddev_samp("value"), F.lit(0.0)).alias("std"),
     )
+    medians = exact_median(ratings, "value", keys)
+    return measured.join(medians, keys, "left").select(*keys, "count", "mean", "median", "std")
 
 
 def rating_overall(stats: DataFrame) -> DataFrame:

@@ -73,7 +73,8 @@ def split_exact(
     """Add ``split``: exactly ``floor(n*train)`` and ``floor(n*val)`` rows, the rest test.
 
     ``identity`` names the columns that identify a row; rows that share them stay in the
-    same split. Rows are never moved: two keys are found first and then every row is
+    same split. The sizes are exact only if no two rows share an identity: this is a
+    precondition. Rows are never moved: two keys are found first and then every row is
     compared with them. The input is read three times, so pass a stored table
     (:func:`sparkprep.plans.staging.stage`) if computing it is costly.
     """

@@ -308,7 +308,7 @@ def _with(body: str, *tables: str) -> str:
 
 def _rating(metric: str, medium: float, good: float) -> str:
     return f"""
-      SELECT '{metric}' AS metric, round({metric}, 6) AS value,
+      SELECT '{metric}' AS metric, round({metric}, 6) AS value, printf('%.2f', {metric}) AS formatted,
         CASE WHEN {metric} >= {good} THEN 'good' WHEN {metric} >= {medium} THEN 'medium'
           ELSE 'poor' END AS rating,
         CASE WHEN {metric} >= {good} THEN 'Good' WHEN {metric} >= {medium} THEN 'Medium'
@@ -528,6 +528,16 @@ ORACLE: dict[str, str] = {
         ),
         _PREPARE,
     ),
+    "quality_report_rows": _with(
+        f"""SELECT 'stats' AS section, name, measure, value FROM (
+          UNPIVOT (SELECT split || '/' || field AS name, count::DOUBLE AS count, min::DOUBLE AS min, max::DOUBLE AS max,
+              mean, median, std FROM (SELECT split, field, {_stats('len')} FROM lengths GROUP BY split, field))
+          ON count, min, max, mean, median, std INTO NAME measure VALUE value)
+        UNION ALL SELECT 'metrics', name, 'value', round(value, 6) FROM (
+          UNPIVOT (SELECT * FROM measured) ON input_output_ratio, split_balance, length_variability, overall_quality
+          INTO NAME name VALUE value)""",
+        _PREPARE,
+    ),
     "dataset_summary": _with(
         f"""SELECT coalesce(split, 'total') AS split, field, {_stats('len')} FROM lengths
         GROUP BY GROUPING SETS ((split, field), (field))""",

@@ -408,7 +408,7 @@ def quality_metrics(i: Inputs) -> DataFrame:
 @query
 def quality_ratings(i: Inputs) -> DataFrame:
     measured = quality.quality_metrics(quality.length_stats(_prepared(i)))
-    return quality.quality_ratings(measured).drop("formatted")
+    return quality.quality_ratings(measured)
 
 
 @query
@@ -416,6 +416,11 @@ def quality_report(i: Inputs) -> DataFrame:
     return quality.quality_report(_prepared(i))
 
 
+@query
+def quality_report_rows(i: Inputs) -> DataFrame:
+    return quality.quality_report_rows(stage(quality.length_stats(_prepared(i)), "length-stats"))
+
+
 @query
 def dataset_summary(i: Inputs) -> DataFrame:
     return quality.dataset_summary(_prepared(i))
