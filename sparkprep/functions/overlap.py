@@ -107,29 +107,44 @@ def cosine(left: Column, right: Column) -> Column:
     )
 
 
-def lcs_length():
-    """A vectorised UDF: length of the longest common subsequence of two token arrays.
+LCS_BLOCK = 4096
 
-    Spark has no two-sequence recurrence, so this is the one metric in Python. A row of
-    the dynamic-programming table is kept as the bits of one integer, which makes the
-    work per token a few wide additions and keeps book-sized texts feasible.
-    """
 
-    def length(a, b) -> int:
+def common_subsequence(a, b) -> int:
+    """Length of the longest common subsequence of two token lists.
+
+    A row of the dynamic-programming table is kept as bits, so the work per token is a few
+    wide additions. The bits are those of ``LCS_BLOCK`` tokens at a time; what an addition
+    carries out of a block goes into the next one. So the tokens' masks stay small, and
+    book-sized texts need little more memory than themselves.
+    """
+    carry, unmatched = bytearray(len(b)), 0
+    for begin in range(0, len(a), LCS_BLOCK):
+        block = a[begin : begin + LCS_BLOCK]
         places: dict[str, int] = {}
-        for i, token in enumerate(a):
+        for i, token in enumerate(block):
             places[token] = places.get(token, 0) | (1 << i)
-        full = (1 << len(a)) - 1
-        row = full
-        for token in b:
+        size = len(block)
+        row = full = (1 << size) - 1
+        for j, token in enumerate(b):
             match = row & places.get(token, 0)
-            row = ((row + match) | (row - match)) & full
-        return len(a) - row.bit_count()
+            grown = row + match + carry[j]
+            carry[j] = grown >> size
+            row = (grown | (row - match)) & full
+        unmatched += row.bit_count()
+    return len(a) - unmatched
+
+
+def lcs_length():
+    """:func:`common_subsequence` as a vectorised UDF.
+
+    Spark has no two-sequence recurrence, so this is the one metric in Python.
+    """
 
     @F.pandas_udf("int")
     def udf(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series(
-            [None if a is None or b is None else length(a, b) for a, b in zip(left, right)],
+            [None if a is None or b is None else common_subsequence(a, b) for a, b in zip(left, right)],
             dtype="Int32",
         )
 

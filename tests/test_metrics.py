@@ -64,6 +64,19 @@ def test_overlap_and_subsequence_on_random_lists(spark):
         assert longest == lcs(a, b)
 
 
+def test_subsequence_over_blocks(monkeypatch):
+    import random
+
+    from sparkprep.functions import overlap
+
+    draw = random.Random(8)
+    for block in (1, 3, 7, 64):
+        monkeypatch.setattr(overlap, "LCS_BLOCK", block)
+        for _ in range(60):
+            a, b = ([draw.choice("abcd") for _ in range(draw.randint(0, 30))] for _ in range(2))
+            assert overlap.common_subsequence(a, b) == lcs(a, b)
+
+
 def test_tokens(spark):
     df = spark.range(1).select(tokens(F.lit("Él's 2-fold!  ")), tokens(F.lit("Él's 2-fold!"), unicode=False))
     assert list(df.first()) == [["él", "s", "2", "fold"], ["l", "s", "2", "fold"]]
