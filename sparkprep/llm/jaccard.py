@@ -78,10 +78,11 @@ def signatures(values: np.ndarray, bounds: np.ndarray, width: int, seed: int = 3
 
 
 SET = ["n", "s1", "s2"]
+PROFILE = ["k", "p1", "p2"]
 
 
 def _sign(documents: DataFrame, size: int, depth: int) -> DataFrame:
-    """``id``, the size and fingerprint of the shingle set, a key per tree and a sketch, for texts with words."""
+    """``id`` and ``digest``, the size and fingerprint of the shingle set, a key per tree and a sketch, for texts with words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -97,15 +98,15 @@ def _sign(documents: DataFrame, size: int, depth: int) -> DataFrame:
                 keys = mix(keys + trees[:, :, k])
             sketch = pa.array([row.tobytes() for row in minima.astype(np.uint8)], pa.binary())
             lists = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, TREES, dtype=np.int32), pa.array(signed(keys.ravel())))
-            arrays = [batch.column("id").take(pa.array(some)), pa.array(n), *(pa.array(signed(s)) for s in sums), lists, sketch]
-            yield pa.RecordBatch.from_arrays(arrays, ["id", *SET, "keys", "sketch"])
+            arrays = [*(batch.column(c).take(pa.array(some)) for c in ("id", "digest")), pa.array(n), *(pa.array(signed(s)) for s in sums), lists, sketch]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "digest", *SET, "keys", "sketch"])
 
-    return documents.mapInArrow(sign, "id long, n long, s1 long, s2 long, keys array<long>, sketch binary")
+    return documents.mapInArrow(sign, "id long, digest string, n long, s1 long, s2 long, keys array<long>, sketch binary")
 
 
-def _units(rows: DataFrame, parts: Column) -> DataFrame:
-    """Rows of groups cut into ``parts`` blocks, once for each pair of blocks ``i <= j`` that has to be compared."""
-    own = F.pmod(F.xxhash64("node"), parts).cast("int")
+def _units(rows: DataFrame, parts: Column, by: list) -> DataFrame:
+    """Rows of groups cut into ``parts`` blocks by a hash of ``by``, once for each pair of blocks ``i <= j`` that has to be compared."""
+    own = F.pmod(F.xxhash64(*by), parts).cast("int")
     cut = rows.withColumn("block", own).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     return cut.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
 
@@ -131,7 +132,7 @@ def _candidates(rows: DataFrame, threshold: float, width: int) -> DataFrame:
 def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """How many elements each of the sorted sets ``left`` shares with each of ``right``."""
     if len(left) * len(right) <= 64:
-        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right] for a in left])
+        return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right] for a in left], np.int64).reshape(len(left), len(right))
     total = np.zeros((len(left), len(right)), np.float32)
     values, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
     owner = np.repeat(np.arange(len(left) + len(right)), [*map(len, left), *map(len, right)])
@@ -147,12 +148,25 @@ def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return np.rint(total).astype(np.int64)
 
 
+def _either(linked: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """Links of sets as links of their documents, whose first sets are at ``rows`` and ``columns``."""
+    for axis, starts in enumerate((rows, columns)):
+        if len(starts) < linked.shape[axis]:
+            linked = np.logical_or.reduceat(linked, starts, axis=axis)
+    return linked
+
+
 def _verified(rows: DataFrame, size: int, threshold: float) -> DataFrame:
-    """Exact links in each unit: ``node, links`` (in documents) and edges ``node, other`` that connect them."""
+    """Exact links in each unit: ``node, links`` (in documents) and edges ``node, other`` that connect them.
+
+    A row is one set of a document. All sets of a document lie in one block, but those of a
+    ``wide`` one, for which more than one unit may find a link: it comes as ``node, other, links``
+    (the documents that ``other`` stands for) with the mark ``pair``, and is in no count.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, ["bucket", "i", "j"]):
-            ids, sizes = group["node"].to_numpy(), group["size"].to_numpy()
+            ids, sizes, wide = (group[c].to_numpy() for c in ("node", "size", "wide"))
             sets: list[np.ndarray] = []
             for part in slices(iter(group.select(["text"]).to_batches())):
                 values, bounds = shingles(*utf8(part.column(0)), size)
@@ -163,19 +177,28 @@ def _verified(rows: DataFrame, size: int, threshold: float) -> DataFrame:
             both = common([sets[k] for k in left], [sets[k] for k in right])
             n = np.array([*map(len, sets)])
             union = n[left][:, None] + n[right][None, :] - both
-            linked = (both >= threshold * union) & (ids[left][:, None] != ids[right][None, :])
+            first = [np.unique(ids[side], return_index=True)[1] for side in (left, right)]
+            linked = _either(both >= threshold * union, *first)
+            left, right = left[first[0]], right[first[1]]
+            linked &= ids[left][:, None] != ids[right][None, :]
+            apart = linked & (wide[left][:, None] | wide[right][None, :])
+            counted = linked & ~apart
             links = np.zeros(len(ids), np.int64)
-            links[left] += linked @ sizes[right]
+            links[left] += counted @ sizes[right]
             if i != j:
-                links[right] += linked.T @ sizes[left]
+                links[right] += counted.T @ sizes[left]
             a, b = forest(linked, ids[left], ids[right])
             some = links > 0
-            nodes = np.concatenate([ids[some], a])
-            other = pa.array(np.concatenate([np.zeros(some.sum(), np.int64), b]), mask=np.arange(len(nodes)) < some.sum())
-            count = pa.array(np.concatenate([links[some], np.zeros(len(a), np.int64)]))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), other, count], ["node", "other", "links"])
+            u, v = np.nonzero(apart)
+            u, v = np.concatenate([left[u], right[v]]), np.concatenate([right[v], left[u]])
+            nodes = np.concatenate([ids[some], a, ids[u]])
+            at = np.arange(len(nodes))
+            other = pa.array(np.concatenate([np.zeros(some.sum(), np.int64), b, ids[v]]), mask=at < some.sum())
+            count = pa.array(np.concatenate([links[some], np.zeros(len(a), np.int64), sizes[v]]))
+            pair = pa.array(at >= some.sum() + len(a))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), other, count, pair], ["node", "other", "links", "pair"])
 
-    return rows.mapInArrow(compare, "node long, other long, links long")
+    return rows.mapInArrow(compare, "node long, other long, links long, pair boolean")
 
 
 def similar_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -187,11 +210,12 @@ def similar_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "
     linked directly, ``component_id`` the least id that links reach, and ``kept`` says that it is
     the row's own. A text of fewer words than ``size`` has all its words as its one shingle; a
     null, empty or blank text has none and links with nothing, and so does a row with a null
-    id. Rows with one id are one document. An empty table gives an empty result; other columns
-    are ignored.
+    id. Rows with one id are one document, however often they come: with different texts, it has
+    a set for each, is linked where one of them is similar enough, and all its rows have the same
+    ``n_links`` and ``component_id``. An empty table gives an empty result; other columns are ignored.
 
-    Documents with one set form a class of which one member goes on. Buckets with the same
-    members are compared once. Large buckets and groups are cut into blocks, whose pairs
+    Documents with the same set, or the same sets, form a class of which one member goes on, with
+    one text for each set. Buckets with the same members are compared once. Large buckets and groups are cut into blocks, whose pairs
     are compared by tasks of their own; within a task comparisons are matrix operations, and
     only counts and as many edges as there are documents come out.
     """
@@ -199,43 +223,57 @@ def similar_documents(documents: DataFrame, *, id: str = "doc_id", text: str = "
     bound_batches(spark)
     depth = prefix_depth(threshold)
     source = documents.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    signed_rows = stage(_sign(source.filter("id IS NOT NULL"), size, depth), "signatures")
-    classes = signed_rows.groupBy(*SET).agg(F.min("id").alias("node"), F.count_distinct("id").alias("size"), F.count("*").alias("group_size"))
+    known = source.filter("id IS NOT NULL").withColumn("digest", F.md5("text"))
+    signed_rows = stage(_sign(known, size, depth), "signatures")
+    own = stage(signed_rows.groupBy("id", *SET).agg(F.count("*").alias("group_size")), "own-sets")
+    profile = [F.count("*").alias("k"), *(F.bit_xor(F.xxhash64(F.lit(i), *SET)).alias(f"p{i}") for i in (1, 2))]
+    docs = stage(own.groupBy("id").agg(*profile, F.sum("n").alias("n"), F.sum("group_size").alias("group_size")), "documents")
+    classes = docs.groupBy(*PROFILE).agg(F.min("id").alias("node"), F.max("n").alias("n"), F.count("*").alias("size"))
     classes = stage(classes, "set-classes")
-    rows = signed_rows.count()
+    rows, ids = signed_rows.count(), docs.count()
 
-    leads = stage(signed_rows.join(classes.select(*SET, F.col("node").alias("id")).hint("merge"), [*SET, "id"]).dropDuplicates(["id"]), "leads")
-    keyed = leads.select(F.col("id").alias("node"), F.explode("keys").alias("bucket"))
-    buckets = keyed.groupBy("bucket").agg(F.count("*").alias("m"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("h"), F.min("node").alias("lead"))
+    first = signed_rows.dropDuplicates(["id", *SET])
+    leads = stage(first.join(classes.select(F.col("node").alias("id")).hint("merge"), "id").withColumnRenamed("id", "node"), "leads")
+    member = ["node", *SET]
+    keyed = leads.select(*member, F.explode("keys").alias("bucket"))
+    buckets = keyed.groupBy("bucket").agg(F.count("*").alias("m"), F.sum(F.xxhash64(*member).cast("decimal(38,0)")).alias("h"), F.min("node").alias("lead"))
     buckets = buckets.filter("m > 1").groupBy("m", "h", "lead").agg(F.min("bucket").alias("bucket"))
     buckets = stage(buckets, "buckets")
     met = keyed.join(buckets.select("bucket", "m").hint("merge"), "bucket")
-    met = met.join(leads.select(F.col("id").alias("node"), "sketch").hint("merge"), "node")
-    units = _units(met, F.ceil(F.col("m") / BLOCK).cast("int"))
+    met = met.join(leads.select(*member, "sketch").hint("merge"), member)
+    units = _units(met, F.ceil(F.col("m") / BLOCK).cast("int"), member)
     keys = ["bucket", "i", "j"]
     edges = stage(_candidates(units.repartition(*keys).sortWithinPartitions(*keys), threshold, TREES * depth).distinct(), "candidates")
     release_shuffles(spark)
 
     groups = components(edges).select(F.col("id").alias("node"), F.col("component").alias("bucket"))
-    members = stage(groups.join(classes.select("node", "n", "size").hint("merge"), "node"), "candidate-groups")
-    parts = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    members = stage(groups.join(classes.select("node", "k", "n", "size").hint("merge"), "node"), "candidate-groups")
+    parts = F.greatest(F.ceil(F.sum("k") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
     cuts = stage(members.groupBy("bucket").agg(parts.alias("parts")), "candidate-parts")
-    members = members.join(cuts.hint("merge"), "bucket").drop("n")
-    texts = source.select(F.col("id").alias("node"), "text").join(members.hint("merge"), "node")
-    units = _units(texts, F.col("parts")).repartition(*keys).sortWithinPartitions(*keys)
+    wide = F.greatest(F.ceil(F.col("k") / BLOCK), F.when(F.col("k") > 1, F.ceil(F.col("n") / BLOCK_SHINGLES)).otherwise(1))
+    members = members.join(cuts.hint("merge"), "bucket").withColumn("shares", wide.cast("int")).drop("k", "n")
+    members = leads.select("node", "digest").join(members.hint("merge"), "node")
+    texts = known.withColumnRenamed("id", "node").dropDuplicates(["node", "digest"]).join(members.hint("merge"), ["node", "digest"])
+    texts = texts.withColumn("share", F.pmod(F.xxhash64("digest"), F.col("shares"))).withColumn("wide", F.col("shares") > 1).drop("digest", "shares")
+    units = _units(texts, F.col("parts"), ["node", "share"]).repartition(*keys).sortWithinPartitions(*keys, "node")
     verified = stage(_verified(units, size, threshold), "verified")
     release_shuffles(spark)
 
-    counts = verified.groupBy("node").agg(F.sum("links").alias("links"))
-    reached = components(verified.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    pairs = verified.filter("pair").select("node", "other", "links").distinct()
+    counts = verified.filter("NOT pair").select("node", "links").unionByName(pairs.select("node", "links")).groupBy("node").agg(F.sum("links").alias("links"))
+    reached = components(verified.filter("other IS NOT NULL AND NOT pair").select(F.col("node").alias("a"), F.col("other").alias("b")))
     summary = (
         classes.join(counts.hint("merge"), "node", "left")
         .join(reached.withColumnRenamed("id", "node").hint("merge"), "node", "left")
-        .select(*SET, "group_size", F.col("node").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+        .select(*PROFILE, "size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     )
     summary = stage(summary, "document-links")
+    found = attach(docs.select("id", *PROFILE, "group_size"), summary, PROFILE, hot_classes(summary, ids, "size"))
+    found = stage(found.select("id", "group_size", "n_links", "component_id"), "links-of-documents")
+    sets = stage(own.groupBy(*SET).agg(F.min("id").alias("class_id"), F.sum("group_size").alias("group_size")), "sets")
+    classed = stage(attach(signed_rows.select("id", *SET), sets, SET, hot_classes(sets, rows)).select("id", "class_id"), "classes-of-rows")
     columns = ["id", "class_id", "n_links", "component_id"]
-    linked = attach(signed_rows.select("id", *SET), summary, SET, hot_classes(summary, rows)).select(columns)
+    linked = attach(classed, found, ["id"], hot_classes(found, rows)).select(columns)
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]") | F.col("id").isNull()
     alone = source.filter(blank).select("id", F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     result = linked.unionByName(alone)

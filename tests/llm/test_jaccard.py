@@ -113,3 +113,41 @@ def test_components_of_paths_stars_and_cycles(spark):
     assert {found[i] for i in range(100, 161)} == {100} and {found[i] for i in range(200, 400)} == {1} == {found[1]}
     assert found[502] == 500 and 7 not in found
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_repeated_document_is_one(spark):
+    text = [f"w{i}" for i in range(60)]
+    near = " ".join([*text, "more"])
+    df = spark.createDataFrame([(1, " ".join(text))] * 3 + [(2, near)] * 2, "doc_id long, text string").repartition(3)
+    rows = similar_documents(df).collect()
+    assert len(rows) == 5 and {(r.doc_id, r.n_links, r.component_id) for r in rows} == {(1, 1, 1), (2, 1, 1)}
+
+
+def several(texts, threshold=0.8):
+    """``doc_id: (links, component)`` of documents with several texts each."""
+    flat = {(d, i): t for d, own in texts.items() for i, t in enumerate(own)}
+    links, sets = {d: set() for d in texts}, {}
+    for k, t in flat.items():
+        w = lowered(t).split()
+        sets[k] = {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+    for a in flat:
+        for b in flat:
+            if a[0] != b[0] and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                links[a[0]].add(b[0])
+    least, before = {d: d for d in texts}, None
+    while before != least:
+        before, least = least, {d: min([least[d], *(least[e] for e in links[d])]) for d in texts}
+    return {d: (len(links[d]), least[d]) for d in texts}
+
+
+def test_documents_with_several_texts(spark, monkeypatch):
+    from sparkprep.llm import jaccard
+
+    draw, pool = random.Random(9), families(7)
+    texts = {d: draw.choices(pool, k=draw.choice([1, 1, 2, 3])) for d in range(90)}
+    texts[90] = pool[:40]
+    df = spark.createDataFrame([(d, t) for d, own in texts.items() for t in own], "doc_id long, text string").repartition(3)
+    want = several(texts)
+    for block in (1024, 8):  # with the small one, document 90 and others are spread over blocks
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        assert {(r.doc_id, r.n_links, r.component_id) for r in similar_documents(df).collect()} == {(d, *v) for d, v in want.items()}
