@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Callable
 from pathlib import Path
 
@@ -45,8 +46,9 @@ class WordTokens:
     """Ids by the tokenizer, for tokenizers that drop white space and lower-case letters.
 
     No token of such a tokenizer crosses white space, nor the border between a letter or digit
-    and the marks that end a word, so words are encoded by themselves. Strings of special
-    tokens count as ordinary text.
+    and the marks that end a word, so words are encoded by themselves. Texts are cut at
+    the contents of added tokens first, as the tokenizer does; if one of them is not special, or
+    has rules of its own for what is around it, the tokenizer encodes each text as a whole.
     """
 
     def __init__(self, definition: str):
@@ -54,7 +56,12 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {token.content: np.array([number], "<u4").tobytes() for number, token in added.items() if token.content}
+        longest = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
+        self.whole = any(not t.special or t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values())
+        self.tokenizer.encode_special_tokens = not self.whole  # in words no added token is left, but lower case could make one
         self.letters = Letters(self.tokenizer)
         self.cores = Memo(self._core, 150_000)
         self.words = Memo(self._word, 250_000)
@@ -77,6 +84,13 @@ class WordTokens:
 
     def encode(self, text: str) -> bytes:
         """All ids of a text as little-endian 32-bit integers."""
+        if self.whole:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if self.cuts is None or self.cuts.search(text) is None:
+            return self._plain(text)
+        return b"".join([self.added[x] if i % 2 else self._plain(x) for i, x in enumerate(self.cuts.split(text))])
+
+    def _plain(self, text: str) -> bytes:
         return b"".join([*map(self.words.__getitem__, text.replace("\n", " ").split(" "))])
 
 

@@ -67,3 +67,13 @@ def test_windows_stay_bounded_and_fit_best():
     assert windows.place(5) == (2, 0, [])
     assert windows.place(8) == (3, 0, [0])  # fits nowhere: the fullest closes
     assert windows.place(10) == (4, 0, [4])
+
+
+def test_added_tokens_in_texts(spark):
+    plain = Tokenizer.from_file(PATH)  # as it comes, without the switch
+    texts = ["first part <|endoftext|> second", "<|startoftext|>It's<|endoftext|>", "a<|endoftext|><|endoftext|>'s b", "x<|ENDOFTEXT|>' <|endoftext|", "<|<|endoftext|>|>\nÉté<|startoftext|>é 1"]
+    texts += [" ".join(texts) * 300, "<|endoftext|>"]
+    assert plain.encode(texts[0], add_special_tokens=False).ids.count(49407) == 1
+    documents = dict(enumerate(texts))
+    df = spark.createDataFrame(list(documents.items()), "doc_id long, text string")
+    check(pack_documents(df, PATH, with_ids=True).collect(), documents, plain, 4096)
