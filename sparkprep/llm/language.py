@@ -9,11 +9,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkprep.llm.batches import slices, utf8
 from sparkprep.llm.cache import built
 from sparkprep.llm.session import bound_batches
+from sparkprep.plans.staging import stage, unstage
 
 ORDER = 3
 TRAIN_BYTES = 4_000_000
@@ -120,20 +121,30 @@ def _lower(column: pa.Array) -> pa.Array:
 def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", train_bytes: int = TRAIN_BYTES) -> Contexts:
     """Count contexts per language over the whole texts of a sample, in the tasks and then over all of them.
 
-    A language of up to ``train_bytes`` bytes is used whole; of a larger one, documents are
-    drawn by a hash of their text so that about this much is expected. Rows with a null text or
-    language teach nothing. At most ``MAX_LANGUAGES`` languages are allowed. Only the counts of
+    Equal texts of a language teach once. A language of up to ``train_bytes`` bytes of different
+    texts is used whole; of a larger one, texts are taken in the order of a hash until they
+    have this many, the first in any case. Rows with a null text or language teach nothing. At most ``MAX_LANGUAGES`` languages are allowed. Only the counts of
     the bounded sample come to the driver.
     """
     rows = documents.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
-    sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
+    rows = rows.withColumn("place", F.xxhash64(F.lit("train"), "text"))
+    texts = rows.groupBy("lang", "place").agg(F.max(F.octet_length("text")).cast("long").alias("size"))
+    texts = stage(texts.withColumn("bucket", F.shiftright("place", 52)), "training-texts")
+    names = [name for (name,) in texts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()]
+    if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    if not any(size for _, size in sizes):
+    if texts.filter("size > 0").isEmpty():
         raise ValueError("no text to learn from")
-    share = F.create_map(*(F.lit(v) for name, size in sizes for v in (name, min(1.0, train_bytes / max(size, 1)))))
-    draw = F.pmod(F.xxhash64("text", F.lit("train")), F.lit(1 << 20)) / float(1 << 20)
-    sample = rows.filter(draw < share[F.col("lang")])
+    sums = texts.groupBy("lang", "bucket").agg(F.sum("size").alias("size")).toPandas().sort_values(["lang", "bucket"])
+    sums["before"] = sums.groupby("lang")["size"].cumsum() - sums["size"]
+    last = sums[sums["before"] < train_bytes].groupby("lang").last()  # where each language gets full, or its end
+    edge, before = (F.create_map(*(F.lit(v) for name, value in last[c].items() for v in (name, int(value)))) for c in ("bucket", "before"))
+    taken = F.sum("size").over(Window.partitionBy("lang").orderBy("place")) - F.col("size") + before[F.col("lang")]
+    full = texts.filter(F.col("bucket") == edge[F.col("lang")]).withColumn("taken", taken).filter(F.col("taken") < train_bytes)
+    limits = full.groupBy("lang").agg(F.max("place")).collect()
+    limit = F.create_map(*(F.lit(v) for name, value in limits for v in (name, value)))
+    unstage(texts)
+    sample = rows.filter(F.col("place") <= limit[F.col("lang")]).dropDuplicates(["lang", "place"]).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -77,3 +77,15 @@ def test_odd_rows(spark, data, odd_documents, no_documents):
     assert all(0 < r.score <= 1 and r.lang_pred in model.languages for n, r in by.items() if n not in ("name0", "name1", "name2", "name7"))
     with pytest.raises(ValueError):
         train(no_documents)
+
+
+def test_copies_and_long_documents_leave_enough_to_learn_from(spark):
+    page = "zz yy xx ww vv uu " * 500
+    rows = [("a", page)] * 300 + [("a", f"the cat sat on the mat {i} times ") for i in range(40)]
+    rows += [("b", f"{i} le chat est sur la table " * 400) for i in range(3)]
+    model = train(spark.createDataFrame(rows, "lang string, text string").repartition(4), train_bytes=12_000)
+    assert model.languages == ["a", "b"]
+    found = identify(spark.createDataFrame([(1, "the cat sat on the mat"), (2, "le chat est sur la table")], "doc_id long, text string"), model)
+    assert {r.doc_id: r.lang_pred for r in found.collect()} == {1: "a", 2: "b"}
+    few = train(spark.createDataFrame(rows, "lang string, text string"), train_bytes=1)
+    assert few.languages == ["a", "b"]
