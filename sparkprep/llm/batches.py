@@ -8,7 +8,7 @@ documents at once.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -64,25 +64,24 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=4)
-def _tables(seed: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Random values of the bytes, and powers of a random odd base and of its inverse modulo 2^64."""
-    random = np.random.default_rng(seed)
-    values = random.integers(0, 2**64, 256, dtype=np.uint64)
-    base = int(random.integers(0, 2**61)) * 8 + 5
-    powers = np.full(size, base, np.uint64)
-    inverse = np.full(size, pow(base, -1, 2**64), np.uint64)
-    powers[0] = inverse[0] = 1
-    return values, np.cumprod(powers), np.cumprod(inverse)
+def word_ids(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """The number of each word among the batch's different words, and these words. Words are those of :func:`words`."""
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+    data = raw[~SPACE[raw]]
+    column = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+    encoded = column.dictionary_encode()
+    return encoded.indices.to_numpy(), encoded.dictionary
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, the same in every batch and task."""
-    size = 1 << max(20, int(len(raw)).bit_length())
-    values, powers, inverse = _tables(seed, size)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(values[raw] * powers[: len(raw)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each word's bytes, the same in every batch and task.
+
+    It is a keyed cryptographic hash: no two words can be built to have one hash, as with sums of powers modulo 2^64.
+    """
+    numbers, different = word_ids(raw, starts, ends)
+    key = seed.to_bytes(8, "little")
+    digests = b"".join([blake2b(word, digest_size=8, key=key).digest() for word in different.to_pylist()])
+    return np.frombuffer(digests, np.uint64)[numbers]
 
 
 def window_hashes(hashes: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
@@ -95,6 +94,57 @@ def window_hashes(hashes: np.ndarray, size: int, seed: int = 7) -> np.ndarray:
     return mix(total)
 
 
+PRIME = np.uint64(2**61 - 1)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime 2^61-1 of values below it, from halves of 30 and 31 bits."""
+    half, rest = np.uint64(31), np.uint64(2**31 - 1)
+    a1, a0, b1, b0 = a >> half, a & rest, b >> half, b & rest
+    middle = a1 * b0 + a0 * b1
+    total = (a1 * b1 << np.uint64(1)) + (middle >> np.uint64(30)) + ((middle & np.uint64(2**30 - 1)) << half) + a0 * b0
+    return residue(total)
+
+
+def residue(x: np.ndarray) -> np.ndarray:
+    """64-bit values modulo 2^61-1."""
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, count: int) -> np.ndarray:
+    """The first powers of a base modulo 2^61-1; a worker keeps the longest table of each base."""
+    table = _POWERS.get(base, np.ones(1, np.uint64))
+    while len(table) < count:
+        table = np.concatenate([table, times(table, np.uint64(pow(base, len(table), int(PRIME))))])
+    _POWERS[base] = table
+    return table[:count]
+
+
+class Spans:
+    """Hashes of any spans of a sequence of 64-bit values: polynomials modulo the prime 2^61-1, from sums over prefixes.
+
+    Different spans of n values have one hash with a probability of n / 2^61 at most, whatever the values are,
+    as the base is drawn at random. ``which`` chooses one of several independent bases.
+    """
+
+    def __init__(self, values: np.ndarray, which: int = 0):
+        base = int(np.random.default_rng(41 + which).integers(2**32, int(PRIME)))
+        values = residue(mix(values + np.uint64(which * 0x5851F42D4C957F2D)))
+        self.inverse = powers(pow(base, -1, int(PRIME)), len(values) + 1)
+        terms = times(values, powers(base, len(values) + 1)[:-1])
+        high, low = np.cumsum(terms >> np.uint64(31)), np.cumsum(terms & np.uint64(2**31 - 1))
+        self.sums = np.zeros(len(values) + 1, np.uint64)
+        self.sums[1:] = residue((high >> np.uint64(30)) + ((high & np.uint64(2**30 - 1)) << np.uint64(31)) + low)
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        found = times(residue(self.sums[end] + PRIME - self.sums[begin]), self.inverse[begin])
+        return mix(found + (end - begin).astype(np.uint64))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """Unsigned 64-bit values as the longs that Spark stores."""
     return x.view(np.int64)

@@ -19,28 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sparkprep.llm.batches import mix, signed, slices, utf8, word_hashes, words
+from sparkprep.llm.batches import Spans, mix, signed, slices, utf8, word_hashes, words
 from sparkprep.llm.session import bound_batches, release_shuffles
 from sparkprep.plans.staging import stage, unstage
 
 ROUNDS = 3
-BASES = (0x9E3779B97F4A7C15 | 5, 0xD6E8FEB86659FD93 | 5)
-
-
-class Spans:
-    """Hashes of any spans of a sequence of 64-bit values, from sums over its prefixes."""
-
-    def __init__(self, values: np.ndarray, which: int = 0):
-        base = BASES[which]
-        values = mix(values + np.uint64(which * 0x5851F42D4C957F2D))
-        powers, inverse = (np.full(len(values) + 1, b, np.uint64) for b in (base, pow(base, -1, 2**64)))
-        powers[0] = inverse[0] = 1
-        self.inverse = np.cumprod(inverse)
-        self.sums = np.zeros(len(values) + 1, np.uint64)
-        np.cumsum(values * np.cumprod(powers)[:-1], out=self.sums[1:])
-
-    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[begin]) * self.inverse[begin] + (end - begin).astype(np.uint64))
 
 
 class Symbols:
@@ -206,7 +189,8 @@ def repeated_windows(documents: DataFrame, size: int) -> DataFrame:
 
     Counting adds up in the tasks before it shuffles. Counts are written before they are
     joined back, so that the joins have nothing to keep together and Spark splits the rows of
-    a frequent key. Hashes of words have 96 bits or more where they decide.
+    a frequent key. Where hashes decide, they are of 61 and 32 bits by independent bases, over
+    keyed hashes of the words.
     """
     spark = documents.sparkSession
     groups = stage(_find_anchors(documents, size), "window-groups")

@@ -151,3 +151,11 @@ def test_documents_with_several_texts(spark, monkeypatch):
     for block in (1024, 8):  # with the small one, document 90 and others are spread over blocks
         monkeypatch.setattr(jaccard, "BLOCK", block)
         assert {(r.doc_id, r.n_links, r.component_id) for r in similar_documents(df).collect()} == {(d, *v) for d, v in want.items()}
+
+
+def test_words_that_modular_sums_confuse_stay_apart(spark):
+    one, other = ("".join("ab"[bin(i).count("1") % 2 ^ swap] for i in range(1024)) for swap in (0, 1))
+    words = [f"w{i}" for i in range(60)]
+    pair = [" ".join(x if i in (5, 30, 55) else w for i, w in enumerate(words)) for x in (one, other)]
+    docs = spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")
+    assert {(r.class_id, r.n_links) for r in similar_documents(docs).collect()} == {(0, 0), (1, 0)}

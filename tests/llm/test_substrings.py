@@ -78,3 +78,11 @@ def test_odd_rows(odd_documents, no_documents):
         assert (by[name].n_words, by[name].n_removed, by[name].kept_text, by[name].doc_id) == (n, gone, kept, source[name].doc_id)
         assert by[name].first == source[name].first
     assert SPACE.sum() == 6
+
+
+def test_words_that_modular_sums_confuse_stay_apart(spark):
+    one, other = ("".join("ab"[bin(i).count("1") % 2 ^ swap] for i in range(1024)) for swap in (0, 1))
+    words = [f"w{i}" for i in range(60)]
+    pair = [" ".join(x if i in (5, 30, 55) else w for i, w in enumerate(words)) for x in (one, other)]
+    docs = spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")
+    assert [r.n_removed for r in remove_repeats(docs).collect()] == [0, 0]
