@@ -13,6 +13,7 @@ from sparkprep.llm.fingerprints import exact_groups
 from sparkprep.llm.jaccard import similar_documents
 from sparkprep.llm.language import held_out, identify, train
 from sparkprep.llm.packing import pack_documents
+from sparkprep.llm.periods import periodic_runs
 from sparkprep.llm.substrings import remove_repeats
 from sparkprep.llm.urls import Rule, judge_urls
 from sparkprep.llm.vectors import near_duplicates
@@ -134,3 +135,35 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+
+WORD = "[^\\x20\\x09-\\x0D]+"
+
+
+def plant_runs(documents: DataFrame) -> DataFrame:
+    """``doc_id, text``: in a tenth of the documents, chosen by a checksum of the id, a stretch of words recurs to the end."""
+    drawn = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    rows = documents.select("doc_id", "text", drawn.alias("h"), F.floor(drawn / 10).cast("long").alias("g"))
+    rows = rows.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
+    n = F.size("w").cast("long")
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)))
+    planted = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, w[int(a + (i - a) % p)])), ' ')")
+    return rows.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, data_dir: str) -> DataFrame:
+    found = periodic_runs(plant_runs(table(spark, data_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("-1000 * best.less div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
