@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sparkprep.llm import quality
+from sparkprep.llm import quality, rules
 from sparkprep.llm.bpe import decode_ids, encode_documents
 from sparkprep.llm.fingerprints import exact_groups
 from sparkprep.llm.jaccard import similar_documents
@@ -167,3 +167,97 @@ def op11_periodic_runs(spark: SparkSession, data_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op12_quality_rules(spark: SparkSession, data_dir: str) -> DataFrame:
+    documents = table(spark, data_dir, "documents")
+    judged = rules.judge(documents, rules.learn_references(documents))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept")
+
+
+# The first byte of a character says its class; here are the characters of each class in order.
+_CLASS_CHARACTERS = [
+    "a-z", "A-Z", "0-9", "\\x20", "\\x09-\\x0D", ".,;:!?'\"", "()+\\-/=@\\[\\\\\\]^_`{}~", rules.SYMBOLS, "\\x00-\\x08\\x0E-\\x1F\\x7F",
+    "\\x{80}-\\x{2BF}", "\\x{2C0}-\\x{7FF}", "\\x{800}-\\x{FFFF}", "\\x{10000}-\\x{10FFFF}",
+]
+
+
+def _rules_sql() -> str:
+    counts = ", ".join("length(regexp_replace(t, '[^{}]', '', 'g'))".format(c.replace("'", "''")) for c in _CLASS_CHARACTERS)
+    term = "CASE WHEN {x} > 0 THEN {x} * log2({x} * 2 / (p + s)) ELSE 0 END"
+    side = f"(sum({term.format(x='p')}) + sum({term.format(x='s')})) / 2"
+    distance = f"sqrt(greatest({side} - (count_if(s > 0) - 1) / (8 * ln(2) * any_value(total)), 0))"
+    return f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t, text IS NOT NULL AND lang IS NOT NULL AS teaches,
+           strpos('0123456789abcdef', substr(md5(coalesce(text, '')), 1, 1)) AS part
+    FROM documents
+), split AS MATERIALIZED (
+    SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, [{counts}] AS chars FROM docs
+), each_word AS MATERIALIZED (
+    SELECT r, lang, part, teaches, i, w[i] AS word, w[i + 1] AS second, w[i + 2] AS third FROM (SELECT *, unnest(range(1, len(w) + 1)) AS i FROM split)
+), plain AS MATERIALIZED (
+    SELECT r, lang, part, teaches, CASE WHEN strlen(word) <= {rules.WORD_BYTES} AND regexp_full_match(core, '\\p{{L}}+') THEN core END AS name
+    FROM (SELECT *, lower(regexp_replace(regexp_replace(word, '^[!-/:-@\\[-`{{-~]+', ''), '[!-/:-@\\[-`{{-~]+$', '')) AS core FROM each_word)
+), sizes AS (SELECT lang, part, sum(len(w)) AS n, teaches FROM split GROUP BY ALL
+), totals AS (
+    SELECT lang FROM sizes WHERE teaches GROUP BY lang
+    HAVING sum(n) >= {rules.LEAST_REFERENCE} AND sum(n) * {rules.LANGUAGES} >= (SELECT sum(n) FROM sizes WHERE teaches)
+), parts AS (SELECT lang, part, n FROM sizes JOIN totals USING (lang) WHERE teaches AND n > 0
+), word_parts AS (SELECT lang, part, name, count(*) AS c FROM plain WHERE teaches AND name IS NOT NULL GROUP BY ALL
+), word_shares AS (
+    SELECT lang, name, median(coalesce(c, 0) / n) AS s
+    FROM (SELECT DISTINCT lang, name FROM word_parts) JOIN parts USING (lang) LEFT JOIN word_parts USING (lang, part, name) GROUP BY ALL
+), common_words AS (
+    SELECT lang, name, s FROM word_shares WHERE s >= {rules.LEAST_SHARE}
+    QUALIFY row_number() OVER (PARTITION BY lang ORDER BY s DESC, name) <= {rules.COMMON}
+), word_reference AS (
+    SELECT lang, name, s / sum(s) OVER (PARTITION BY lang) AS s FROM (
+        SELECT * FROM common_words UNION ALL
+        SELECT lang, '', greatest(0, 1 - coalesce(sum(s), 0)) FROM totals LEFT JOIN common_words USING (lang) GROUP BY lang
+    )
+), each_class AS MATERIALIZED (
+    SELECT r, lang, part, teaches, unnest(chars) AS c, unnest(range(1, {rules.CLASSES + 1})) AS k FROM split
+), class_parts AS (
+    SELECT lang, part, k, sum(c) AS c, sum(sum(c)) OVER (PARTITION BY lang, part) AS n FROM each_class JOIN totals USING (lang) WHERE teaches GROUP BY lang, part, k
+), class_shares AS (SELECT lang, k, median(c / n) AS s FROM class_parts WHERE n > 0 GROUP BY ALL
+), class_reference AS (SELECT lang, k, s / sum(s) OVER (PARTITION BY lang) AS s FROM class_shares
+), pairs AS MATERIALIZED (
+    SELECT r, totals.lang, len(w) AS total, list_sum(chars) AS n_chars FROM split JOIN totals ON coalesce(split.lang, totals.lang) = totals.lang
+), doc_words AS (
+    SELECT pairs.r, pairs.lang, coalesce(common_words.name, '') AS name, count(*) AS c
+    FROM pairs JOIN plain ON plain.r = pairs.r LEFT JOIN common_words ON common_words.lang = pairs.lang AND common_words.name = plain.name GROUP BY ALL
+), word_distance AS (
+    SELECT r, lang, {distance} AS d FROM (
+        SELECT pairs.r, pairs.lang, coalesce(c, 0) / total AS p, s, total
+        FROM pairs JOIN word_reference USING (lang) LEFT JOIN doc_words ON doc_words.r = pairs.r AND doc_words.lang = pairs.lang AND doc_words.name = word_reference.name
+        WHERE total > 0
+    ) GROUP BY r, lang
+), class_distance AS (
+    SELECT r, lang, {distance} AS d FROM (
+        SELECT pairs.r, pairs.lang, c / n_chars AS p, s, n_chars AS total
+        FROM pairs JOIN class_reference USING (lang) JOIN each_class ON each_class.r = pairs.r AND each_class.k = class_reference.k WHERE n_chars > 0
+    ) GROUP BY r, lang
+), far AS (
+    SELECT r, total >= 50 AND w.d > 0.35 OR n_chars >= 200 AND c.d > 0.25 AS far
+    FROM pairs LEFT JOIN word_distance w USING (r, lang) LEFT JOIN class_distance c USING (r, lang)
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY w.d, lang) = 1
+), lines AS (
+    SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM split)
+    WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY r
+), repeated AS (
+    SELECT r, count(DISTINCT i + k) AS n FROM (
+        SELECT r, i, count(*) OVER (PARTITION BY r, word, second, third) AS times FROM each_word WHERE third IS NOT NULL
+    ), (SELECT unnest([0, 1, 2]) AS k) WHERE times > 1 GROUP BY r
+), counted AS (
+    SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+           CAST(chars[8] AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words
+    FROM split LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)
+), based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(far, false) AS kept
+FROM based LEFT JOIN far USING (r)
+"""
+
+
+ORACLE["op12_quality_rules"] = _rules_sql()
