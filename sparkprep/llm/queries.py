@@ -14,6 +14,7 @@ from sparkprep.llm.jaccard import similar_documents
 from sparkprep.llm.language import held_out, identify, train
 from sparkprep.llm.packing import pack_documents
 from sparkprep.llm.periods import periodic_runs
+from sparkprep.llm.repair import repair
 from sparkprep.llm.substrings import remove_repeats
 from sparkprep.llm.urls import Rule, judge_urls
 from sparkprep.llm.vectors import near_duplicates
@@ -261,3 +262,109 @@ FROM based LEFT JOIN far USING (r)
 
 
 ORACLE["op12_quality_rules"] = _rules_sql()
+
+
+def damage(conversations: DataFrame) -> DataFrame:
+    """Rows of which a checksum of conversation and turn drops, empties, cuts, repeats or renames some.
+
+    ``present`` is false for a dropped row. Nulls read as one space.
+    """
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(name("conv_id"), F.lit(":"), name("turn"))) % 20
+    rows = conversations.select("conv_id", "turn", name("role").alias("role"), name("text").alias("text"), fault.alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    times = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.col("fault") != 0).alias("present"), times.alias("copy")).drop("copy")
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, data_dir: str) -> DataFrame:
+    found = repair(damage(table(spark, data_dir, "conversations")), present=F.col("present"))
+    return found.drop("repaired")
+
+
+def _crc_table() -> list[int]:
+    """The 256 steps of the CRC-32 that is computed from the low bit."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [(c >> 1) ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return table
+
+
+def _repair_sql() -> str:
+    def least(*ways: str) -> str:
+        return f"list_min([{', '.join(ways)}])"
+
+    def edit(way: str, cost: str, letter: str) -> str:
+        return f"CASE WHEN {way} IS NOT NULL THEN {{'c': ({way}).c + {cost}, 'a': ({way}).a || '{letter}'}} END"
+
+    insert = lambda way: edit(way, "2", "I")
+    only = lambda when, way: f"CASE WHEN {when} THEN {way} END"
+    to_user = [only("NOT gone AND kind = 'u'", edit(f"x{i}", "cut", "K")) for i in (0, 1, 3)]
+    to_user += [only("NOT gone AND kind <> 'u'", edit(f"x{i}", "(2 + cut)", "R")) for i in (0, 1, 3)]
+    to_assistant = [only("NOT gone AND kind = 'a'", edit("x2", "cut", "K")), only("NOT gone AND kind <> 'a'", edit("x2", "(2 + cut)", "R"))]
+    stay = [edit(f"x{i}", "3", "D") for i in range(4)]
+    ends = ["v0", "v3", insert("v2"), insert(f"({insert('v1')})")]
+    way = "STRUCT(c INTEGER, a VARCHAR)"
+    return f"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k
+    FROM conversations
+), checksum(k, i, c) AS (
+    SELECT DISTINCT k, 1, CAST(4294967295 AS BIGINT) FROM named
+    UNION ALL
+    SELECT k, i + 1, xor(c >> 8, ({_crc_table()})[(xor(c, CAST(ascii(substr(k, i, 1)) AS BIGINT)) & 255) + 1]) FROM checksum WHERE i <= length(k)
+), faults AS (SELECT k, xor(c, 4294967295) % 20 AS fault FROM checksum WHERE i = length(k) + 1
+), damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM named JOIN faults USING (k), (SELECT unnest([0, 1]) AS copy) WHERE fault <> 0 AND (copy = 0 OR fault = 3)
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i FROM damaged
+), judged AS (
+    SELECT *, NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           CASE WHEN substr(role, 1, 1) IN ('s', 'u', 'a') THEN substr(role, 1, 1) ELSE 'x' END AS kind,
+           NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') AS open
+    FROM placed
+), marked AS (
+    SELECT conv_id, i, role, text, turn, kind, blank, again AND NOT blank AS copied, blank OR again AS gone, CAST(open AND NOT blank AND NOT again AS INTEGER) AS cut,
+           i > 1 AND lag(kind) OVER (PARTITION BY conv_id ORDER BY i) || kind NOT IN ('su', 'ua', 'au') AS wrong
+    FROM judged
+), paths(conv_id, i, v0, v1, v2, v3) AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT), CAST({{'c': 0, 'a': ''}} AS {way}), CAST(NULL AS {way}), CAST(NULL AS {way}), CAST(NULL AS {way}) FROM conversations
+    UNION ALL
+    SELECT conv_id, i, {least(stay[0])}, {least(stay[1], only("NOT gone AND kind = 's'", edit('x0', 'cut', 'K')))},
+           {least(stay[2], *to_user)}, {least(stay[3], *to_assistant)}
+    FROM (
+        SELECT paths.* EXCLUDE (i, v2, v3), marked.i, v0 AS x0, v1 AS x1, {least('w2', insert('w3'))} AS x2, {least('w3', insert('w2'))} AS x3, kind, gone, cut
+        FROM (SELECT *, {least('v2', insert('v0'), insert('v1'), insert('v3'))} AS w2, {least('v3', insert('v2'))} AS w3 FROM paths) AS paths
+        JOIN marked ON marked.conv_id IS NOT DISTINCT FROM paths.conv_id AND marked.i = paths.i + 1
+    )
+), best AS (
+    SELECT conv_id, {least(*ends)} AS way FROM paths QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), letters AS (
+    SELECT conv_id, p, substr((way).a, CAST(p AS INTEGER), 1) AS letter FROM (SELECT *, unnest(range(1, length((way).a) + 1)) AS p FROM best)
+), steps AS (
+    SELECT conv_id, p, letter, count_if(letter <> 'I') OVER earlier AS i, count_if(letter <> 'D') OVER earlier AS o
+    FROM letters WINDOW earlier AS (PARTITION BY conv_id ORDER BY p)
+), output AS (
+    SELECT steps.*, role, text, max(CASE WHEN o = 1 AND letter = 'K' AND kind = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY steps.conv_id) AS system
+    FROM steps LEFT JOIN marked ON marked.conv_id IS NOT DISTINCT FROM steps.conv_id AND marked.i = steps.i WHERE letter <> 'D'
+), repaired AS (
+    SELECT conv_id, string_agg(
+        CASE WHEN letter = 'K' THEN role WHEN (o - system) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p
+    ) AS t
+    FROM output GROUP BY conv_id
+), counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(copied) AS duplicate, count_if(cut = 1) AS truncated,
+           count_if(wrong) AS illegal
+    FROM marked GROUP BY conv_id
+)
+SELECT best.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+       CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST((way).c AS BIGINT) AS cost, (way).a AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM best LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM best.conv_id LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM best.conv_id
+"""
+
+
+ORACLE["op13_conversation_repair"] = _repair_sql()
