@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,10 +33,13 @@ def staging_root(spark: SparkSession) -> str:
     """The shared folder for intermediate data.
 
     The session names it in ``spark.checkpoint.dir``. Where that is unset, the warehouse
-    serves, which every session has and which executors reach as well.
+    serves, which every session has; on a cluster it must not be a local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged").rstrip("/")
+    root = configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_staged"
+    if not configured and root.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share; the warehouse is a local one")
+    return root.rstrip("/")
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
@@ -61,6 +65,17 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_alone(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """Write the result of ``make``, and delete what it staged for itself."""
+    before = set(_STAGED)
+    df = make()
+    own = set(_STAGED) - before
+    result = stage(df, label)
+    for path in own & set(_STAGED):
+        delete(df.sparkSession, path)
+    return result
+
+
 def unstage(df: DataFrame) -> None:
     """Delete the files below a result of :func:`stage` that nothing will read again."""
     for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
