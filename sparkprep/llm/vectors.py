@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from sparkprep.llm.graph import components, forest, grouped
@@ -14,6 +15,7 @@ from sparkprep.llm.spread import attach, hot_classes
 from sparkprep.plans.staging import stage
 
 SAMPLE = 20_000
+SAMPLE_VALUES = 4_000_000
 CELL = 4_000
 MAX_CELLS = 2_048
 BLOCK = 1_024
@@ -41,21 +43,39 @@ def _unit(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _cells(classes: DataFrame, centroids: np.ndarray, width: int, reach: float) -> DataFrame:
-    """A row per vector and cell where it is at home or may have a partner."""
-    gaps = np.linalg.norm(centroids[:, None] - centroids[None], axis=2)
-    source = classes.sparkSession.sparkContext.broadcast((centroids, gaps))
+def _grids(drawn: pa.Table, cells_a_row: float) -> dict[int, tuple[np.ndarray, np.ndarray, int]]:
+    """For each width among the drawn vectors its centroids, their distances, and the number of its first cell."""
+    column = drawn.column("v").combine_chunks()
+    widths = pc.list_value_length(column).to_numpy()
+    grids, cells = {}, 0
+    for width in np.unique(widths).tolist():
+        points = _unit(column.filter(pa.array(widths == width)), width)
+        count = max(1, min(MAX_CELLS, int(len(points) * cells_a_row)))
+        centroids = spherical_kmeans(points, count)
+        grids[width] = centroids, np.linalg.norm(centroids[:, None] - centroids[None], axis=2), cells
+        cells += len(centroids)
+    return grids
+
+
+def _cells(classes: DataFrame, grids: dict[int, tuple[np.ndarray, np.ndarray, int]], reach: float) -> DataFrame:
+    """A row per vector and cell where it is at home or may have a partner. A width of which none was drawn is one cell."""
+    source = classes.sparkSession.sparkContext.broadcast(grids)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centers, between = source.value
         for batch in batches:
-            near = _unit(batch.column("v"), width) @ centers.T
-            home = near.argmax(axis=1)
-            margin = near[np.arange(len(home)), home][:, None] - near
-            row, cell = np.nonzero(margin <= reach * between[home] + 1e-12)
-            arrays = [c.take(pa.array(row)) for c in batch.columns]
-            arrays += [pa.array(cell.astype(np.int32)), pa.array(cell == home[row])]
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "cell", "home"])
+            widths = pc.list_value_length(batch.column("v")).to_numpy()
+            for width in np.unique(widths).tolist():
+                own = batch.filter(pa.array(widths == width))
+                row, cell, home = np.arange(own.num_rows), np.full(own.num_rows, -width), np.ones(own.num_rows, bool)
+                if width in source.value:
+                    centers, between, first = source.value[width]
+                    near = _unit(own.column("v"), width) @ centers.T
+                    nearest = near.argmax(axis=1)
+                    margin = near[row, nearest][:, None] - near
+                    row, cell = np.nonzero(margin <= reach * between[nearest] + 1e-12)
+                    home, cell = cell == nearest[row], cell + first
+                arrays = [c.take(pa.array(row)) for c in own.columns]
+                yield pa.RecordBatch.from_arrays([*arrays, pa.array(cell.astype(np.int32)), pa.array(home)], [*own.schema.names, "cell", "home"])
 
     columns = classes.select("label", "node", "size", "v")
     kinds = ", ".join(f"{n} {t}" for n, t in columns.dtypes)
@@ -65,14 +85,14 @@ def _cells(classes: DataFrame, centroids: np.ndarray, width: int, reach: float)
 UNIT = ["label", "cell", "i", "j"]
 
 
-def _compare(rows: DataFrame, width: int, threshold: float) -> DataFrame:
+def _compare(rows: DataFrame, threshold: float) -> DataFrame:
     """Of each unit, its home rows against all its rows: ``node, links`` and edges ``node, other``."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, UNIT):
             ids, sizes = group["node"].to_numpy(), group["size"].to_numpy()
             left = group["left"].to_numpy()
-            vectors = _unit(group["v"], width)
+            vectors = _unit(group["v"], len(group["v"][0]))
             linked = vectors[left] @ vectors[~left].T >= threshold
             linked &= ids[left][:, None] != ids[~left][None, :]
             links = linked @ sizes[~left]
@@ -98,13 +118,13 @@ def near_duplicates(
     """``<id>, n_links, component_id, kept`` for each row: pairs of equal label with a cosine of ``threshold`` or more are linked.
 
     ``component_id`` is the least id that links reach, ``kept`` says that it is the row's own.
-    A vector that is null, zero, of another length than most others or that holds a null or
+    Vectors of different lengths do not link. A vector that is null, zero or that holds a null or
     non-finite component links with nothing, and so does one with a null label or id; its
     component is itself. Rows with one id are one vector; they do not count as links of each
     other. An empty table gives an empty result; other columns are ignored.
 
-    Equal vectors of a label form classes, so copies are compared once. A sample of at most
-    ``SAMPLE`` classes gives the centroids. Each vector goes to its nearest centroid's cell and,
+    Equal vectors of a label form classes, so copies are compared once. A sample of about
+    ``SAMPLE`` classes, or ``SAMPLE_VALUES`` components, gives the centroids of each length. Each vector goes to its nearest centroid's cell and,
     as a visitor, to the cells whose border is no farther than two linked vectors can be apart.
     So both cells of a linked pair see it; a vector counts its links at home. Large cells are
     cut into blocks, and block pairs compared by matrix products in tasks of their own.
@@ -115,22 +135,15 @@ def near_duplicates(
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("v", lambda x: x != 0)
     usable = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & finite, F.lit(False))
     hashes = [F.xxhash64("label", "v"), F.xxhash64(F.lit(17), "v", "label")]
-    source = source.select("id", "label", "v", F.size("v").alias("width"), usable.alias("usable"), *(F.when(usable, h).alias(k) for h, k in zip(hashes, ("k1", "k2"))))
-    widths = source.filter("usable").groupBy("width").count().orderBy(F.desc("count"), "width").first()
-    width = widths["width"] if widths else 0
-    good = F.col("usable") & (F.col("width") == width)
+    source = source.select("id", "label", "v", usable.alias("usable"), *(F.when(usable, h).alias(k) for h, k in zip(hashes, ("k1", "k2"))))
     keys = ["k1", "k2"]
     found = [F.min("id").alias("node"), F.count_distinct("id").alias("size"), F.count("*").alias("group_size"), F.first("label").alias("label"), F.first("v").alias("v")]
-    classes = stage(source.filter(good).groupBy(*keys).agg(*found), "vector-classes")
-    total, rows = classes.agg(F.count("*"), F.coalesce(F.sum("group_size"), F.lit(0))).first()
+    classes = stage(source.filter("usable").groupBy(*keys).agg(*found), "vector-classes")
+    total, rows, values = classes.agg(F.count("*"), F.coalesce(F.sum("group_size"), F.lit(0)), F.coalesce(F.sum(F.size("v")), F.lit(0))).first()
 
-    share = min(1.0, SAMPLE / max(total, 1))
-    drawn = classes.filter(F.pmod("k2", F.lit(1 << 20)) < share * (1 << 20)).select("v").limit(2 * SAMPLE).collect()
-    cells = max(1, min(MAX_CELLS, total // cell_size))
-    points = np.array([r.v for r in drawn] or np.ones((1, max(width, 1))), np.float64).reshape(-1, max(width, 1))
-    points /= np.abs(points).max(axis=1, keepdims=True)
-    points /= np.linalg.norm(points, axis=1, keepdims=True)
-    placed = stage(_cells(classes, spherical_kmeans(points, cells), width, float(np.sqrt(2 - 2 * threshold)) + 1e-9), "cells")
+    share = min(1.0, SAMPLE / max(total, 1), SAMPLE_VALUES / max(values, 1))
+    drawn = classes.filter(F.pmod("k2", F.lit(1 << 20)) < share * (1 << 20)).select("v").toArrow()
+    placed = stage(_cells(classes, _grids(drawn, 1 / share / cell_size), float(np.sqrt(2 - 2 * threshold)) + 1e-9), "cells")
 
     here = ["label", "cell"]
     parts = placed.groupBy(*here).agg(F.ceil(F.count_if("home") / BLOCK).cast("int").alias("left_parts"), F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
@@ -142,7 +155,7 @@ def near_duplicates(
     rights = cut.withColumn("j", F.pmod(draw, "parts").cast("int")).withColumn("i", F.explode(every("left_parts")))
     sides = [side.select(*UNIT, F.lit(left).alias("left"), "node", "size", "v") for side, left in ((lefts, True), (rights, False))]
     units = sides[0].unionByName(sides[1]).repartition(*UNIT).sortWithinPartitions(*UNIT)
-    compared = stage(_compare(units, width, threshold), "compared-vectors")
+    compared = stage(_compare(units, threshold), "compared-vectors")
     counts = compared.groupBy("node").agg(F.sum("links").alias("links"))
     reached = components(compared.filter("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
     summary = (
@@ -151,7 +164,7 @@ def near_duplicates(
         .select(*keys, "group_size", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     )
     summary = stage(summary, "vector-links")
-    linked = attach(source.filter(good).select("id", *keys), summary, keys, hot_classes(summary, rows)).select("id", "n_links", "component_id")
-    alone = source.filter(~good | (F.lit(not width))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    linked = attach(source.filter("usable").select("id", *keys), summary, keys, hot_classes(summary, rows)).select("id", "n_links", "component_id")
+    alone = source.filter("NOT usable").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     result = linked.unionByName(alone)
     return result.select(F.col("id").alias(id), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

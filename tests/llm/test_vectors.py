@@ -38,7 +38,7 @@ def test_data(spark, data):
 
 def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
-    odd = [None, [], [0.0, 0.0], [nan, 1.0], [1.0, None], [inf, 1.0], [1.0], [1.0, 2.0, 3.0]]
+    odd = [None, [], [0.0, 0.0], [nan, 1.0], [1.0, None], [inf, 1.0], [1.0], [1.0, 2.0, 3.0]]  # the last two alone with their length
     rows = [(i, v, 1, "x", 5) for i, v in enumerate(odd)]
     rows += [(20, [1.0, 0.0], 1, "x", 5), (21, [1e300, 1e298], 1, "x", 5), (22, [1.0, 0.0], None, "x", 5), (None, [1.0, 0.0], 1, "x", 5), (20, [1.0, 0.0], 1, "x", 5), (23, [1e-300, 0.0], 2, "x", 5)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string, size int")
@@ -56,3 +56,23 @@ def test_centroids_are_unit_vectors_of_their_cells():
     centers = spherical_kmeans(points, 10)
     assert np.allclose(np.linalg.norm(centers, axis=1), 1)
     assert (points @ centers.T).max(axis=1).mean() > 0.5
+
+
+def test_vectors_of_each_width_are_compared(spark):
+    draw = np.random.default_rng(3)
+    rows, want = [], {}
+    for width, count, first in ((2, 5, 0), (3, 120, 100), (8, 300, 1000)):
+        ids, labels = np.arange(first, first + count), draw.integers(0, 2, count)
+        points = draw.normal(size=(20, width))[draw.integers(0, 20, count)] + draw.normal(size=(count, width)) * 0.2
+        want |= reference(ids, labels, points)
+        rows += [(int(i), p.tolist(), int(l)) for i, p, l in zip(ids, points, labels)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df, cell_size=40).collect()} == want
+
+
+def test_a_width_that_was_not_drawn_is_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SAMPLE", 1e-9)
+    df = spark.createDataFrame([(i, [1.0, i / 10], 1) for i in range(30)], "vec_id long, embedding array<double>, label int")
+    points = np.array([[1.0, i / 10] for i in range(30)])
+    want = reference(np.arange(30), np.ones(30), points)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df).collect()} == want
