@@ -88,7 +88,7 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray = field(default_factory=lambda: np.zeros(DIMENSIONS + 1))
-    points: tuple[np.ndarray, np.ndarray] = ((0.0, 1.0), (0.0, 1.0))
+    points: tuple[np.ndarray, np.ndarray] = ((0.0, 1.0), (0.5, 0.5))  # as long as nothing was learned
     seed: int = 20
 
     def fourier(self, x: np.ndarray) -> np.ndarray:
@@ -124,8 +124,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack(column.to_numpy(zero_copy_only=False)) if len(column) else np.zeros((0, len(FEATURES)))
 
 
-def _summed(rows: DataFrame, part) -> np.ndarray:
-    """Sum of ``part(x, y)`` over all rows: in each task, then of ``SUMMED`` tasks at a time."""
+def _summed(rows: DataFrame, part) -> np.ndarray | None:
+    """Sum of ``part(x, y)`` over all rows: in each task, then of ``SUMMED`` tasks at a time. None without rows."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = sum((part(_matrix(b.column(0)), b.column(1).to_numpy()) for b in batches if b.num_rows), start=np.zeros(()))
@@ -142,9 +142,7 @@ def _summed(rows: DataFrame, part) -> np.ndarray:
         tasks = -(-tasks // SUMMED)
         sums = sums.repartition(tasks).mapInArrow(add, "v array<double>")
     found = sums.first()
-    if found is None:
-        raise ValueError("no labelled rows to learn from")
-    return np.array(found.v)
+    return None if found is None else np.array(found.v)
 
 
 def rising(x: np.ndarray, mean: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,13 +162,16 @@ def train(measured: DataFrame, labels: DataFrame, *, id: str = "doc_id", label:
 
     Small rows of statistics meet the labels, never texts. Means, normal equations and
     the calibration's ``BINS`` counts per unit of raw score are sums of partitions' sums;
-    only such sums, whose size is fixed, come to the driver. Null ids and labels teach nothing.
+    only such sums, whose size is fixed, come to the driver. Null ids and labels teach nothing;
+    without any labelled row every score is 0.5.
     """
     own = labels.filter(F.col(label).isin(0, 1)).select(F.col(id).alias("labelled"), F.col(label).cast("double").alias("y"))
     rows = measured.join(own.hint("merge"), F.col(id) == F.col("labelled")).select("x", "y")
     rows = stage(rows, "labelled-statistics")
     n = len(FEATURES)
     sums = _summed(rows, lambda x, y: np.concatenate([x.sum(axis=0), (x**2).sum(axis=0), [len(x)]]))
+    if sums is None:
+        return Model(np.zeros(n), np.ones(n))
     mean = sums[:n] / sums[-1]
     deviation = np.sqrt(np.maximum(sums[n : 2 * n] / sums[-1] - mean**2, 0))
     model = Model(mean, np.where(deviation > 1e-9, deviation, 1.0))

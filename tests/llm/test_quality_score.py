@@ -1,6 +1,5 @@
 import numpy as np
 import pyarrow as pa
-import pytest
 from pyspark.sql import functions as F
 
 from sparkprep.llm import quality
@@ -53,5 +52,24 @@ def test_odd_rows(spark, odd_documents, no_documents):
     rows = quality.score(measured, model).collect()
     assert len(rows) == 14 and all(0 <= r.score <= 1 for r in rows)
     assert quality.score(quality.measure(no_documents), model).count() == 0
-    with pytest.raises(ValueError):
-        quality.train(measured, labels.limit(0))
+    for nothing in (quality.train(measured, labels.limit(0)), quality.train(quality.measure(no_documents), labels)):
+        assert {r.score for r in quality.score(measured, nothing).collect()} == {0.5}
+
+
+def test_scores_are_those_of_a_plain_ridge_fit(spark, data):
+    docs, labels = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "labels"))
+    measured = quality.measure(docs).repartition(5)
+    model = quality.train(measured, labels)
+    rows = measured.join(labels, "doc_id").orderBy("doc_id").collect()
+    x, y = np.array([r.x for r in rows]), np.array([r.quality for r in rows], float)
+    deviation = x.std(axis=0)
+    plain = quality.Model(x.mean(axis=0), np.where(deviation > 1e-9, deviation, 1.0))
+    z = plain.fourier(x)
+    penalty = np.diag([1e-4 * len(x)] * quality.DIMENSIONS + [0.0]) + 1e-9 * np.eye(quality.DIMENSIONS + 1)
+    plain.weights = np.linalg.solve(z.T @ z + penalty, z.T @ y)
+    assert np.allclose(model.raw(x), plain.raw(x), atol=1e-6)
+    at = np.round((plain.raw(x) + 1) * quality.BINS).astype(int)
+    bins = np.unique(at)
+    plain.points = quality.rising(bins / quality.BINS - 1, np.array([y[at == b].mean() for b in bins]), np.array([(at == b).sum() for b in bins], float))
+    got = {r.doc_id: r.score for r in quality.score(measured, model).collect()}
+    assert np.allclose([got[r.doc_id] for r in rows], plain.score(x), atol=1e-3)
