@@ -28,7 +28,7 @@ LETTER = regex.compile(r"\p{L}")
 class Contexts:
     """Frozen statistics of all languages, as tables that numpy looks up.
 
-    ``symbols`` numbers the bytes; 0 is for those not seen and for the start of a text. ``state``
+    ``symbols`` numbers the bytes; 0 is for the start of a text, the last for bytes not seen. ``state``
     leads from the last ``ORDER`` symbols to the longest context kept, and ``bits[state, symbol]``
     holds the exact code length of the next symbol in each language.
     """
@@ -50,6 +50,9 @@ class Contexts:
         return total
 
 
+NOTHING = Contexts([], np.zeros(256, np.int32), np.zeros(1, np.int32), np.zeros((1, 1, 0), np.float32))
+
+
 def context_symbols(symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Row ``ORDER``: each text's symbols; the rows before: the symbols 3, 2 and 1 before, 0 before the start."""
     rows = np.zeros((ORDER + 1, len(symbols)), np.int32)
@@ -78,9 +81,9 @@ def build(counts: list[tuple[str, int, int]]) -> Contexts:
     times = np.array([c[2] for c in counts], np.float64)
     parts = np.stack([(grams >> (9 * k)) & 511 for k in (3, 2, 1, 0)])  # oldest first
     seen = np.unique(parts[3])
-    symbols = np.zeros(256, np.int32)
+    symbols = np.full(256, len(seen) + 1, np.int32)
     symbols[seen - 1] = np.arange(1, len(seen) + 1)
-    size, width = len(seen) + 1, len(languages)
+    size, width = len(seen) + 2, len(languages)
     lookup = np.concatenate([[0], symbols])
     parts = lookup[parts]
 
@@ -123,7 +126,8 @@ def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", train
 
     Equal texts of a language teach once. A language of up to ``train_bytes`` bytes of different
     texts is used whole; of a larger one, texts are taken in the order of a hash until they
-    have this many, the first in any case. Rows with a null text or language teach nothing. At most ``MAX_LANGUAGES`` languages are allowed. Only the counts of
+    have this many, the first in any case. Rows with a null text or language teach nothing; without any
+    other, no language is learned. At most ``MAX_LANGUAGES`` languages are allowed. Only the counts of
     the bounded sample come to the driver.
     """
     rows = documents.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
@@ -134,7 +138,7 @@ def train(documents: DataFrame, *, text: str = "text", lang: str = "lang", train
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if texts.filter("size > 0").isEmpty():
-        raise ValueError("no text to learn from")
+        return NOTHING
     sums = texts.groupBy("lang", "bucket").agg(F.sum("size").alias("size")).toPandas().sort_values(["lang", "bucket"])
     sums["before"] = sums.groupby("lang")["size"].cumsum() - sums["size"]
     last = sums[sums["before"] < train_bytes].groupby("lang").last()  # where each language gets full, or its end
@@ -167,7 +171,8 @@ def identify(documents: DataFrame, contexts: Contexts, *, id: str = "doc_id", te
 
     The language is the one that codes the whole text, in lower case, in the fewest bits; of
     equals, the first by name. ``score`` is its share of the probability that all languages
-    give to the text. A null text, or one without a letter, is ``und`` with score 0. Rows are
+    give to the text. A null text, or one without a letter, is ``und`` with score 0, and so is every
+    text if no language was learned. Rows are
     judged by themselves, repeated ones too, without a shuffle; an empty table gives an empty
     result. The tables are broadcast: their size follows the training sample's bound.
     """
@@ -178,6 +183,10 @@ def identify(documents: DataFrame, contexts: Contexts, *, id: str = "doc_id", te
         model = built(key, source, lambda value: value)
         names = np.array([*model.languages, UNDETERMINED], object)
         for batch in slices(batches):
+            if not model.languages:
+                arrays = [*batch.columns, pa.array([UNDETERMINED] * batch.num_rows), pa.array(np.zeros(batch.num_rows))]
+                yield pa.RecordBatch.from_arrays(arrays[:1] + arrays[2:], ["id", *kept, "lang_pred", "score"])
+                continue
             lowered = _lower(batch.column("text"))
             bits = model.lengths(*utf8(lowered))
             letters = np.array([LETTER.search(x) is not None for x in lowered.to_pylist()], bool)
