@@ -37,7 +37,8 @@ class UrlTrie:
             node = node.setdefault(None, {})  # None leads from the hosts to the paths
             for folder in folders:
                 node = node.setdefault(folder, {})
-            ends = node.setdefault(None, {})
+            ends, sizes = node.setdefault(None, ({}, set()))
+            sizes.add(len(tail))
             if tail not in ends or rule.action == "block":
                 ends[tail] = rule
 
@@ -51,8 +52,10 @@ class UrlTrie:
             for segment in segments:
                 if folder is None:
                     break
-                for tail, rule in folder.get(None, {}).items():
-                    if segment.startswith(tail) and (best is None or _length(rule) > _length(best)):
+                ends, sizes = folder.get(None, ({}, ()))
+                for size in sizes:  # as many look-ups as there are lengths, however many rules
+                    rule = ends.get(segment[:size])
+                    if rule and size <= len(segment) and (best is None or _length(rule) > _length(best)):
                         best = rule
                 folder = folder.get(segment)
         return best

@@ -44,3 +44,10 @@ def test_odd_rows(spark, monkeypatch):
     monkeypatch.setattr(urls, "MAX_RULES", 0)
     with pytest.raises(ValueError):
         judge_urls(pages, [Rule("allow", "a", "/")])
+
+
+def test_many_rules_below_one_folder():
+    rules = [Rule("block", "a.org", f"/d/page{i}") for i in range(2_000)] + [Rule("allow", "a.org", "/d/p"), Rule("allow", "a.org", "/d/page7x")]
+    trie = UrlTrie(rules)
+    for path, want in (("/d/page1999", "/d/page1999"), ("/d/page7xyz", "/d/page7x"), ("/d/pag", "/d/p"), ("/d/", None), ("/d/page12/e", "/d/page12"), ("/e/page12", None)):
+        assert getattr(trie.find("a.org", path), "path", None) == want
