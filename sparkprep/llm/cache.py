@@ -20,10 +20,15 @@ def built(key: str, source: Broadcast, build: Callable[[Any], T]) -> T:
     return _BUILT[key]
 
 
+LONGEST = 48
+
+
 class Memo(dict):
     """A function's results by argument, of the last ``limit`` to twice as many different arguments.
 
-    When full, the results become the older half, from which those asked for again return.
+    When full, the results become the older half, from which those asked for again return. Texts of
+    more than ``LONGEST`` characters are passed by: where blanks are rare, a whole paragraph is one
+    word, and seldom comes again. So the limit bounds the bytes that are held.
     """
 
     def __init__(self, function: Callable, limit: int = 200_000):
@@ -31,6 +36,8 @@ class Memo(dict):
         self.function, self.limit, self.older = function, limit, {}
 
     def __missing__(self, key):
+        if isinstance(key, str) and len(key) > LONGEST:
+            return self.function(key)
         if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
