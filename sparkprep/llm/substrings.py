@@ -224,13 +224,16 @@ def repeated_windows(documents: DataFrame, size: int) -> DataFrame:
     return result
 
 
-def remove_repeats(documents: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 35, keep: list[str] = ()) -> DataFrame:
+def remove_repeats(
+    documents: DataFrame, *, id: str = "doc_id", text: str = "text", size: int = 35, keep: list[str] = (), layout: bool = False
+) -> DataFrame:
     """``<id>, n_words, n_removed, kept_sha256, kept_text`` and the columns ``keep``, for each row.
 
     Words are runs of ``[^\\x20\\x09-\\x0D]`` of the whole text, unchanged. A word goes if it
     lies in a window of ``size`` consecutive words that also starts anywhere else, in the same
     document or another; the input alone decides, not what is left. ``kept_text`` joins the
-    other words by one space. A null or empty text has no words and an empty kept text, and so
+    other words by one space; with ``layout`` it is the text itself without the removed words and the
+    white space after each. A null or empty text has no words and an empty kept text, and so
     has a text of white space; texts shorter than ``size`` words lose nothing. A row that
     repeats another repeats all its windows. Ids may be null or shared: a row is known by id
     and text together. An empty table gives an empty result; other columns are ignored.
@@ -245,7 +248,7 @@ def remove_repeats(documents: DataFrame, *, id: str = "doc_id", text: str = "tex
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            raw, _, starts, ends, doc, base = _doc_words(batch)
+            raw, offsets, starts, ends, doc, base = _doc_words(batch)
             lists = batch.column("ranges").fill_null([])
             of = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             first, last = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in lists.flatten().flatten())
@@ -256,7 +259,18 @@ def remove_repeats(documents: DataFrame, *, id: str = "doc_id", text: str = "tex
             total = np.diff(base)
             sums = np.concatenate([[0], np.cumsum(stays)])
             left = sums[base[1:]] - sums[base[:-1]]
-            texts = []
+            texts, spared = [], []
+            if layout:
+                following = np.append(starts[1:], len(raw))
+                following[base[1:][total > 0] - 1] = offsets[1:][total > 0]  # the last word's white space ends with its text
+                gone = np.zeros(len(raw) + 1, np.int64)
+                np.add.at(gone, starts[~stays], 1)
+                np.add.at(gone, following[~stays], -1)
+                visible = np.cumsum(gone)[:-1] == 0
+                whole = batch.column("text")
+                for row in range(batch.num_rows):
+                    span = slice(offsets[row], offsets[row + 1])
+                    spared.append(raw[span][visible[span]].tobytes().decode() if left[row] < total[row] else whole[row].as_py() or "")
             for row in range(batch.num_rows):
                 chosen = stays[base[row] : base[row + 1]]
                 whole = raw[starts[base[row]] : ends[base[row + 1] - 1]].tobytes().split() if len(chosen) else []
@@ -267,7 +281,7 @@ def remove_repeats(documents: DataFrame, *, id: str = "doc_id", text: str = "tex
                 pa.array(total),
                 pa.array(total - left),
                 pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
-                pa.array([x.decode() for x in texts], pa.string()),
+                pa.array(spared if layout else [x.decode() for x in texts], pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *renamed, "n_words", "n_removed", "kept_sha256", "kept_text"])
 

@@ -86,3 +86,11 @@ def test_words_that_modular_sums_confuse_stay_apart(spark):
     pair = [" ".join(x if i in (5, 30, 55) else w for i, w in enumerate(words)) for x in (one, other)]
     docs = spark.createDataFrame(list(enumerate(pair)), "doc_id long, text string")
     assert [r.n_removed for r in remove_repeats(docs).collect()] == [0, 0]
+
+
+def test_layout_stays_around_what_is_removed(spark):
+    passage = "\n".join(f"p{i} q{i}\t" for i in range(40))
+    texts = [f"one\n two  {passage}three\r\n four ", f" five\n\n{passage} \n", "six\n  seven", None, "  ", passage.replace("\n", "  ")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    got = {r.doc_id: (r.kept_text, r.n_removed) for r in remove_repeats(docs, layout=True).collect()}
+    assert got == {0: ("one\n two  three\r\n four ", 80), 1: (" five\n\n", 80), 2: ("six\n  seven", 0), 3: ("", 0), 4: ("  ", 0), 5: ("", 80)}
