@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sparkprep.functions.bind import bind
 from sparkprep.functions.chunks import chunk_spans, paragraphs
 from sparkprep.functions.text import strip
+from sparkprep.operators.asof import asof_join
 
 METADATA_FIELDS = (
     "title",
@@ -151,15 +152,11 @@ def chunk_sections(
     on which its own text begins; before the first heading that is section 0 without a
     title. All of it happens inside the row.
     """
-    text = F.array_join(F.transform(pages, lambda p: F.coalesce(p["text"], F.lit(""))), separator)
-    owners = F.flatten(
-        F.transform(pages, lambda p: F.array_repeat(p["page_no"], F.size(F.coalesce(paragraphs(p["text"], separator), F.array()))))
-    )
     rows = documents.select(
         doc_id,
         sections(F.col(pages), pattern).alias("_sections"),
-        owners.alias("_owners"),
-        F.posexplode(chunk_spans(text, separator=separator, **chunking)).alias("_i", "_chunk"),
+        _owners(pages, separator).alias("_owners"),
+        F.posexplode(chunk_spans(_paged_text(pages, separator), separator=separator, **chunking)).alias("_i", "_chunk"),
     )
     page = F.get("_owners", F.col("_chunk")["piece"] - 1)
     number = F.size(F.filter("_sections", lambda s: s["start_page"] <= page))
@@ -167,6 +164,45 @@ def chunk_sections(
     return rows.select(doc_id, (F.col("_i") + 1).alias("chunk_index"), number.alias("section_no"), title)
 
 
+def _paged_text(pages: str, separator: str) -> Column:
+    return F.array_join(F.transform(pages, lambda p: F.coalesce(p["text"], F.lit(""))), separator)
+
+
+def _owners(pages: str, separator: str) -> Column:
+    """The page of each paragraph of a document."""
+    return F.flatten(
+        F.transform(pages, lambda p: F.array_repeat(p["page_no"], F.size(F.coalesce(paragraphs(p["text"], separator), F.array()))))
+    )
+
+
+def chunk_pages(documents: DataFrame, doc_id: str = "doc_id", pages: str = "pages", separator: str = "\n\n", **chunking) -> DataFrame:
+    """``doc_id, chunk_index, page_no`` of each chunk: the page on which its own text begins."""
+    rows = documents.select(
+        doc_id,
+        _owners(pages, separator).alias("_owners"),
+        F.posexplode(chunk_spans(_paged_text(pages, separator), separator=separator, **chunking)).alias("_i", "_chunk"),
+    )
+    page = F.get("_owners", F.col("_chunk")["piece"] - 1)
+    return rows.select(doc_id, (F.col("_i") + 1).alias("chunk_index"), page.alias("page_no"))
+
+
+def section_table(documents: DataFrame, pattern: str = HEADING, doc_id: str = "doc_id", pages: str = "pages") -> DataFrame:
+    """``doc_id, section_no, title, start_page, end_page``: a row per section, numbered from 1."""
+    found = documents.select(doc_id, F.posexplode(sections(F.col(pages), pattern)).alias("_i", "_s"))
+    return found.select(doc_id, (F.col("_i") + 1).alias("section_no"), "_s.*")
+
+
+def assign_sections(chunks: DataFrame, section_rows: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """The rows of a chunk table (``doc_id, page_no``, …) with ``section_no, title`` from a table of sections.
+
+    The two tables may come from anywhere and be of any size: a chunk gets the last section of its
+    document that starts on its page or before, by :func:`asof_join`. Before the first section, and
+    without a page, that is section 0 without a title.
+    """
+    found = asof_join(chunks, section_rows, [doc_id], "page_no", "start_page", ["section_no", "title"])
+    return found.withColumn("section_no", F.coalesce("section_no", F.lit(0)))
+
+
 def document_structure(
     documents: DataFrame, pattern: str = HEADING, doc_id: str = "doc_id", pages: str = "pages"
 ) -> DataFrame:

@@ -57,55 +57,64 @@ def _ts(column: str) -> str:
 
 # Common table expressions, each after those it reads.
 
+def _told(rows: str, name: str) -> str:
+    """``name``: the chunks of ``rows`` with the texts that templates make of them."""
+    return f"""
+{name}_sentences AS (
+  SELECT *, {_strip("string_split(chunk, '.')[1]")} AS sentence FROM {rows}),
+{name}_words AS (
+  SELECT *, {_words('sentence')} AS ws, ({_words('chunk')})[:10] AS first_words FROM {name}_sentences),
+{name}_texts AS (
+  SELECT * EXCLUDE (ws, first_words),
+    CASE WHEN list_contains({_list(LEADING_STOPWORDS)}, lower(ws[1]))
+      THEN array_to_string(ws[2:], ' ') ELSE sentence END AS subject,
+    array_to_string(first_words, ' ') AS keywords
+  FROM {name}_words),
+{name} AS (
+  SELECT *,
+    replace({_list(QUESTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', subject) AS question,
+    replace({_list(INSTRUCTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', keywords) AS instruction
+  FROM {name}_texts)"""
+
+
 _PREPARE = f"""
-paragraphs AS (
-  SELECT doc_id, list_filter(string_split(text, {NL}), lambda p: {_strip('p')} <> '') AS ps
-  FROM documents),
+paragraph_lists AS (
+  SELECT doc_id, list_filter(string_split(text, {NL}), lambda p: {_strip('p')} <> '') AS ps FROM documents),
+paragraphs AS MATERIALIZED (
+  SELECT doc_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM paragraph_lists),
+last_paragraphs AS MATERIALIZED (SELECT doc_id, max(i) AS n FROM paragraphs GROUP BY doc_id),
 fold AS (
-  SELECT doc_id, ps, 0 AS i, '' AS cur, NULL::VARCHAR AS done FROM paragraphs
+  SELECT doc_id, 0::BIGINT AS i, '' AS cur, NULL::VARCHAR AS done FROM last_paragraphs
   UNION ALL
-  SELECT doc_id, ps, i + 1,
+  SELECT doc_id, i,
     CASE WHEN full_up THEN right(cur, 200) || {NL} || {NL} ELSE cur END || p || {NL} || {NL},
     CASE WHEN full_up THEN {_strip('cur')} END
-  FROM (SELECT *, ps[i + 1] AS p,
-          length(cur) + length(ps[i + 1]) > 1000 AND length(cur) >= 100 AS full_up
-        FROM fold WHERE i < len(ps))),
-closed AS (
-  SELECT doc_id, i AS pos, done AS chunk FROM fold WHERE done IS NOT NULL
+  FROM (SELECT fold.doc_id, paragraphs.i, cur, p, length(cur) + length(p) > 1000 AND length(cur) >= 100 AS full_up
+        FROM fold JOIN paragraphs ON paragraphs.doc_id = fold.doc_id AND paragraphs.i = fold.i + 1)),
+folded AS MATERIALIZED (SELECT * FROM fold),
+closed AS MATERIALIZED (
+  SELECT doc_id, i AS pos, done AS chunk FROM folded WHERE done IS NOT NULL
   UNION ALL
-  SELECT doc_id, len(ps) + 1, {_strip('cur')} FROM fold WHERE i = len(ps) AND length(cur) >= 100),
-chunks AS (
+  SELECT doc_id, n + 1, {_strip('cur')} FROM folded JOIN last_paragraphs USING (doc_id) WHERE i = n AND length(cur) >= 100),
+chunks AS MATERIALIZED (
   SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos)::INTEGER AS chunk_index, chunk
   FROM closed),
-keyed AS (
+keyed AS MATERIALIZED (
   SELECT *, md5(concat_ws('#', doc_id, chunk_index, '0')) AS k FROM chunks),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k)::INTEGER AS sample_rank,
     count(*) OVER (PARTITION BY doc_id) AS n FROM keyed),
-sampled AS (
+sampled AS MATERIALIZED (
   SELECT doc_id, chunk_index, chunk, k, sample_rank,
     CASE WHEN sample_rank <= floor(least(n, 10)::DOUBLE * 0.5::DOUBLE)
       THEN 'qa' ELSE 'instruction' END AS kind
   FROM ranked WHERE sample_rank <= 10),
-sentences AS (
-  SELECT *, {_strip("string_split(chunk, '.')[1]")} AS sentence FROM keyed),
-texts AS (
-  SELECT *,
-    CASE WHEN list_contains({_list(LEADING_STOPWORDS)}, lower(({_words('sentence')})[1]))
-      THEN array_to_string(({_words('sentence')})[2:], ' ') ELSE sentence END AS subject,
-    array_to_string(({_words('chunk')})[:10], ' ') AS keywords
-  FROM sentences),
-told AS (
-  SELECT *,
-    replace({_list(QUESTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', subject) AS question,
-    replace({_list(INSTRUCTION_TEMPLATES)}[{_pick('k', 5)} + 1], '{{}}', keywords) AS instruction
-  FROM texts),
-subjects AS (
-  SELECT s.*, t.sentence FROM sampled s JOIN told t USING (doc_id, chunk_index)),
-examples AS (
-  SELECT s.doc_id, s.chunk_index, kind,
-    CASE kind WHEN 'qa' THEN question ELSE instruction END AS input_text, s.chunk AS output_text
-  FROM sampled s JOIN told t USING (doc_id, chunk_index)),
+{_told('keyed', 'told')},
+{_told('sampled', 'sampled_told')},
+subjects AS (SELECT * FROM sampled_told),
+examples AS MATERIALIZED (
+  SELECT doc_id, chunk_index, kind, CASE kind WHEN 'qa' THEN question ELSE instruction END AS input_text, chunk AS output_text
+  FROM sampled_told),
 valid AS (
   SELECT doc_id, chunk_index, kind, input_text, output_text FROM examples
   WHERE length(input_text) BETWEEN 10 AND 1024 AND length(output_text) BETWEEN 20 AND 2048),
@@ -284,6 +293,35 @@ streaks AS (
     CASE WHEN count(*) >= 3 THEN 'critical' ELSE 'warning' END AS level
   FROM numbered WHERE status = 'error' GROUP BY endpoint_id, island)"""
 
+# Rows that arrive six days late, and the fifth of the time in which each arrives.
+_ARRIVALS = f"""{_LOG},
+span AS (SELECT min(ts) AS a, max(ts) + INTERVAL 6 DAY AS b FROM log),
+arrivals AS (
+  SELECT log.*, least(4, floor(5 * (epoch_us(ts + CASE WHEN {_pick("md5(concat_ws('#', event_id, 'late', '0'))", 20)} = 0 THEN INTERVAL 6 DAY ELSE INTERVAL 0 DAY END)
+      - epoch_us(a)) / (epoch_us(b) - epoch_us(a))))::BIGINT AS batch,
+    date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end
+  FROM log, span),
+marks AS (
+  SELECT batch, count(*) AS rows, max(ts) AS newest,
+    max(max(ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 DAY AS watermark,
+    max(max(ts)) OVER (ORDER BY batch) AS newest_so_far
+  FROM arrivals GROUP BY batch),
+judged AS (SELECT *, coalesce(window_end <= watermark, false) AS is_late FROM arrivals JOIN marks USING (batch))"""
+
+# Versions 1 to 4 of the examples; a row's group says in which it is, and group 5 is edited in the third.
+_VERSIONS = f"""{_PREPARE},
+grouped AS (
+  SELECT *, {_pick("md5(concat_ws('#', doc_id, chunk_index, 'version', '0'))", 6)} AS g FROM examples),
+versioned AS MATERIALIZED (
+  SELECT v, md5(md5(input_text || CASE WHEN g = 5 AND v >= 3 THEN '!' ELSE '' END) || md5(output_text)) AS content_key, count(*) AS count
+  FROM grouped, (SELECT unnest([1, 2, 3, 4]) AS v)
+  WHERE list_contains([[1], [1, 2], [1, 2, 3, 4], [3, 4], [1, 3], [1, 2, 3, 4]][g + 1], v)
+  GROUP BY ALL),
+version_runs AS (
+  SELECT content_key, count, min(v)::BIGINT AS from_version, CASE WHEN max(v) < 4 THEN max(v)::BIGINT END AS to_version
+  FROM (SELECT *, v - row_number() OVER (PARTITION BY content_key, count ORDER BY v) AS island FROM versioned)
+  GROUP BY content_key, count, island)"""
+
 _TRIALS = """
 history AS (
   SELECT user_id AS trial, CASE WHEN user_id % 10 = 0 THEN value + 1 END AS best_metric,
@@ -391,7 +429,7 @@ ORACLE: dict[str, str] = {
     # scalar functions
     "paragraphs": _with(
         """SELECT doc_id, (generate_subscripts(ps, 1) - 1)::INTEGER AS pos, unnest(ps) AS paragraph
-        FROM paragraphs""",
+        FROM paragraph_lists""",
         _PREPARE,
     ),
     "clean_text": f"""SELECT doc_id, {_strip(r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(
@@ -710,6 +748,16 @@ ORACLE: dict[str, str] = {
           FROM splits)""",
         _PREPARE,
     ),
+    "version_history": _with("SELECT content_key, count, from_version, to_version FROM version_runs", _VERSIONS),
+    "version_states": _with("SELECT v::INTEGER AS version, content_key, count FROM versioned", _VERSIONS),
+    "version_changes": _with(
+        """SELECT version::BIGINT AS version, count(*) FILTER (WHERE b = 1 AND e = 0) AS added, count(*) FILTER (WHERE b = 0 AND e = 1) AS removed, count(*) FILTER (WHERE b = 1 AND e = 1) AS changed
+        FROM (SELECT version, content_key, max(b) AS b, max(e) AS e FROM (
+            SELECT from_version AS version, content_key, 1 AS b, 0 AS e FROM version_runs
+            UNION ALL SELECT to_version + 1, content_key, 0, 1 FROM version_runs WHERE to_version IS NOT NULL) GROUP BY ALL)
+        GROUP BY version""",
+        _VERSIONS,
+    ),
     "version_diff": _with(
         """SELECT content_key, coalesce(o, 0) AS old_count, coalesce(n, 0) AS new_count,
         CASE WHEN o IS NULL THEN 'added' WHEN n IS NULL THEN 'removed' ELSE 'kept' END AS change
@@ -815,6 +863,24 @@ ORACLE: dict[str, str] = {
         FROM (SELECT count(*) AS n FROM valid), (SELECT unnest([2, 4, 8]) AS b)""",
         _PREPARE,
     ),
+    "stream_late_rows": _with(
+        f"""SELECT event_id, {_ts('ts')} AS ts, endpoint_id, status, round(latency, 6) AS latency, {_ts('window_start')} AS window_start, {_ts('window_end')} AS window_end,
+          {_ts('watermark')} AS watermark, round((epoch_us(watermark) - epoch_us(ts)) / 1000000, 6) AS behind_seconds, batch
+        FROM judged WHERE is_late""",
+        _ARRIVALS,
+    ),
+    "stream_kept_and_late": _with(
+        f"""SELECT {_ts('window_start')} AS window_start, {_ts('window_end')} AS window_end, endpoint_id, status, count(*) FILTER (WHERE NOT is_late) AS prediction_count,
+          round(avg(latency) FILTER (WHERE NOT is_late), 6) AS mean, round(min(latency) FILTER (WHERE NOT is_late), 6) AS min,
+          round(max(latency) FILTER (WHERE NOT is_late), 6) AS max, count(*) FILTER (WHERE is_late) AS late
+        FROM judged GROUP BY ALL""",
+        _ARRIVALS,
+    ),
+    "stream_progress": _with(
+        f"""SELECT batch, count(*) AS rows, count(*) FILTER (WHERE NOT is_late) AS on_time, count(*) FILTER (WHERE is_late) AS late, 0::BIGINT AS undated,
+          {_ts('any_value(watermark)')} AS watermark, {_ts('any_value(newest_so_far)')} AS newest FROM judged GROUP BY batch""",
+        _ARRIVALS,
+    ),
     # streams: all windows and runs, and whether they are closed when the stream has been read
     "stream_metrics": _with(
         f"""SELECT {_ts('w')} AS window_start, {_ts("w + INTERVAL 1 DAY")} AS window_end, endpoint_id, status,
@@ -849,3 +915,5 @@ ORACLE: dict[str, str] = {
         _STREAKS,
     ),
 }
+
+ORACLE["chunk_sections_asof"] = ORACLE["chunk_sections"].replace("SELECT filled.doc_id, chunk_index,", "SELECT filled.doc_id, chunk_index, filled.page_no,", 1)

@@ -3,20 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkprep.functions import text as T
 from sparkprep.functions.chunks import paragraphs
 from sparkprep.functions.overlap import cosine
+from sparkprep.functions.hashing import pick, row_key
 from sparkprep.functions.stats import basic_stats, round_doubles
 from sparkprep.operators import chunking, comparison, dataset, examples, metrics, monitoring
-from sparkprep.operators import quality, review, scoring, splitting, structure, trials
+from sparkprep.operators import quality, review, scoring, splitting, structure, trials, versions
 from sparkprep.plans.inputs import MODELS, SEPARATOR, SHORT_LINE, Inputs
 from sparkprep.plans.prepare import prepare_training_data, training_examples
 from sparkprep.plans.staging import stage, staging_path
 from sparkprep.sources import files, jsonl, sinks
-from sparkprep.streaming import chunks as chunk_streams, monitor
+from sparkprep.streaming import chunks as chunk_streams, late, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -340,6 +342,13 @@ def chunk_sections(i: Inputs) -> DataFrame:
     return structure.chunk_sections(i.paged(), SHORT_LINE, separator=SEPARATOR)
 
 
+@query
+def chunk_sections_asof(i: Inputs) -> DataFrame:
+    """The same from a table of chunks and a table of sections."""
+    pages = i.paged()
+    return structure.assign_sections(structure.chunk_pages(pages, separator=SEPARATOR), structure.section_table(pages, SHORT_LINE))
+
+
 # Sampling and splits
 
 
@@ -604,6 +613,40 @@ def version_diff(i: Inputs) -> DataFrame:
     return dataset.version_diff(i.examples(), _prepared(i))
 
 
+VERSIONS = {0: [1], 1: [1, 2], 2: [1, 2, 3, 4], 3: [3, 4], 4: [1, 3], 5: [1, 2, 3, 4]}
+
+
+def _history(i: Inputs) -> str:
+    """Four versions of the examples, added to a history one after the other: rows come, go, return and change."""
+    history = staging_path(i.spark, "history")
+    group = pick(row_key(*IDENTITY, F.lit("version")), len(VERSIONS))
+    rows = stage(i.examples().withColumn("group", group), "versioned-examples")
+    for version in (1, 2, 3, 4):
+        there = rows.filter(F.col("group").isin([g for g, versions in VERSIONS.items() if version in versions]))
+        edited = F.when((F.col("group") == 5) & F.lit(version >= 3), F.concat("input_text", F.lit("!"))).otherwise(F.col("input_text"))
+        versions.extend(history, there.withColumn("input_text", edited), version, version - 1 or None)
+    return history
+
+
+@query
+def version_history(i: Inputs) -> DataFrame:
+    """Each content as runs of versions."""
+    return versions.runs(i.spark, _history(i))
+
+
+@query
+def version_states(i: Inputs) -> DataFrame:
+    """The contents of each version, from the history."""
+    history = _history(i)
+    states = [versions.state_at(i.spark, history, v).withColumn("version", F.lit(v)) for v in (1, 2, 3, 4)]
+    return reduce(DataFrame.unionByName, states)
+
+
+@query
+def version_changes(i: Inputs) -> DataFrame:
+    return versions.changes(i.spark, _history(i))
+
+
 # Monitoring
 
 
@@ -783,3 +826,40 @@ def stream_failures(i: Inputs) -> DataFrame:
     monitor.track_failures(i.log(i.stream("events")), streaks, state, progress).awaitTermination()
     found = monitor.all_failures(i.spark, streaks, state)
     return _stamped(found.withColumn("open", F.col("open").cast("int")))
+
+
+ARRIVALS = 5
+
+
+def _late(i: Inputs) -> str:
+    """A log of which one row in twenty arrives six days late, delivered in five parts, each read when it has arrived."""
+    incoming, path, progress = (staging_path(i.spark, n) for n in ("arriving", "late-windows", "late-progress"))
+    log = i.log()
+    delayed = pick(row_key("event_id", F.lit("late")), 20) == 0
+    arrival = F.col("ts") + F.when(delayed, F.expr("INTERVAL 6 DAYS")).otherwise(F.expr("INTERVAL 0 DAYS"))
+    ends = log.agg(F.unix_micros(F.min("ts")).alias("a"), F.unix_micros(F.max("ts") + F.expr("INTERVAL 6 DAYS")).alias("b")).first()
+    a, b = ends["a"] or 0, ends["b"] or 1
+    part = F.least(F.floor(ARRIVALS * (F.unix_micros(arrival) - a) / F.lit(b - a)), F.lit(ARRIVALS - 1))
+    rows = stage(log.select(*late.ENTRY, part.alias("part")), "arrivals")
+    for number in range(ARRIVALS):
+        rows.filter(F.col("part") == number).drop("part").write.mode("append").parquet(incoming)
+        arrived = i.spark.readStream.schema(rows.drop("part").schema).parquet(incoming)
+        late.track_windows(arrived, path, progress, delay="2 days").awaitTermination()
+    return path
+
+
+@query
+def stream_late_rows(i: Inputs) -> DataFrame:
+    """The rows that came after their window was closed."""
+    return _stamped(late.late_rows(i.spark, _late(i)))
+
+
+@query
+def stream_kept_and_late(i: Inputs) -> DataFrame:
+    """All windows: what was counted in time, and how many rows came too late."""
+    return _stamped(late.window_totals(i.spark, _late(i)))
+
+
+@query
+def stream_progress(i: Inputs) -> DataFrame:
+    return _stamped(late.progress(i.spark, _late(i)))

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.operators.chunking import chunk_documents
 from sparkprep.plans.inputs import Inputs
-from sparkprep.streaming import chunks as chunk_streams, monitor
+from sparkprep.streaming import chunks as chunk_streams, late, monitor
 from test_monitoring import expected_streaks
 
 START = datetime(2024, 1, 1)
@@ -126,3 +126,39 @@ def test_arriving_files_are_chunked(spark, tmp_path):
     batch = chunk_documents(spark.createDataFrame([("doc1", text), ("doc2", text * 2)], "doc_id string, text string"))
     found = spark.read.schema(batch.schema).parquet(out)
     assert found.exceptAll(batch).count() == batch.exceptAll(found).count() == 0
+
+
+def run_late(spark, tmp_path, parts, **options):
+    write_in_turn(spark, tmp_path / "in", parts)
+    path = str(tmp_path / "windows")
+    late.track_windows(stream(spark, tmp_path / "in"), path, str(tmp_path / "c"), **options).awaitTermination()
+    return path
+
+
+def test_kept_and_late_rows_are_all_rows(spark, tmp_path):
+    parts = [
+        [entry(1, 0), entry(2, 200), (9, None, "e", 1.0, "success")],
+        [entry(3, 400), entry(4, 10), entry(5, 195, "error")],
+        [entry(6, 1), entry(7, 600), entry(8, 330, "error"), (10, START + timedelta(minutes=610), "e", None, "success")],
+    ]
+    path = run_late(spark, tmp_path, parts, seconds=3600, delay="10 minutes")
+    at = lambda n: START + timedelta(minutes=n)
+    found = {r.event_id: r for r in late.late_rows(spark, path).collect()}
+    assert set(found) == {4, 6, 8, 9}
+    assert (found[4].watermark, found[4].window_end, found[4].behind_seconds, found[4].batch) == (at(190), at(60), 180 * 60, 1)
+    assert (found[8].watermark, found[8].behind_seconds, found[9].window_start, found[9].watermark) == (at(390), 3600, None, None)
+    counters = sorted(tuple(r) for r in late.progress(spark, path).select("batch", "rows", "on_time", "late", "undated", "watermark", "newest").collect())
+    assert counters == [(0, 3, 2, 1, 1, None, at(200)), (1, 3, 2, 1, 0, at(190), at(400)), (2, 4, 2, 2, 0, at(390), at(610))]
+    totals = {(r.window_start, r.status): (r.prediction_count, r.mean, r.late) for r in late.window_totals(spark, path).collect()}
+    assert totals[at(0), "success"] == (1, 1.0, 2) and totals[at(300), "error"] == (0, None, 1)
+    assert totals[at(600), "success"] == (2, 7.0, 0) and totals[at(180), "error"] == (1, 5.0, 0)
+    assert sum(n + m for n, _, m in totals.values()) + 1 == sum(map(len, parts))
+
+
+def test_a_repeated_batch_replaces_its_late_rows(spark, tmp_path):
+    parts = [[entry(1, 0), entry(2, 500)], [entry(3, 20), entry(4, 510)]]
+    path = run_late(spark, tmp_path, parts, seconds=3600, delay="10 minutes")
+    again = late.track_windows(stream(spark, tmp_path / "in"), path, str(tmp_path / "other"), seconds=3600, delay="10 minutes")
+    again.awaitTermination()
+    assert [r.event_id for r in late.late_rows(spark, path).collect()] == [3]
+    assert sum(r.prediction_count for r in late.window_totals(spark, path).collect()) == 3
