@@ -52,7 +52,8 @@ class Inputs:
 
     def files(self) -> DataFrame:
         """Each document as a file: ``path, length, content``."""
-        docs = self.table("documents").select("doc_id", "source", "text")
+        text, source = (F.coalesce(c, F.lit(other)).alias(c) for c, other in (("text", ""), ("source", "none")))
+        docs = self.table("documents").select("doc_id", source, text)
         content = F.encode("text", "UTF-8")
         path = F.concat(F.lit("/corpus/"), "source", F.lit("/"), "doc_id", F.lit(".pdf"))
         return docs.select(

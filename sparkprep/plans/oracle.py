@@ -152,10 +152,11 @@ heads AS (
     row_number() OVER (PARTITION BY doc_id ORDER BY page_no)::INTEGER AS section_no
   FROM pages WHERE regexp_matches(text, {SHORT}))"""
 
-_FILES = f"""
+_FILES = """
 files AS (
   SELECT doc_id, '/corpus/' || source || '/' || doc_id || '.pdf' AS path,
-    '/corpus/' || source AS directory, text, strlen(text) AS length FROM documents)"""
+    '/corpus/' || source AS directory, text, strlen(text) AS length
+  FROM (SELECT doc_id, coalesce(source, 'none') AS source, coalesce(text, '') AS text FROM documents))"""
 
 _TURNS = """
 turns AS (
@@ -372,6 +373,7 @@ _STATS_LONG = f"""
 ORACLE: dict[str, str] = {
     # sources and sinks
     "published_files": _with("SELECT path, length, md5(text) AS content_md5 FROM files", _FILES),
+    "publish_manifest": _with("SELECT path, length, md5(text) AS md5 FROM files", _FILES),
     "chunk_table": _with("SELECT doc_id, chunk_index, chunk FROM chunks", _PREPARE),
     "structure_table": _with(
         f"""SELECT doc_id, source AS author, len(string_split(text, {NL}))::INTEGER AS pages,

@@ -17,7 +17,7 @@ from sparkprep.operators import quality, review, scoring, splitting, structure,
 from sparkprep.plans.inputs import MODELS, SEPARATOR, SHORT_LINE, Inputs
 from sparkprep.plans.prepare import prepare_training_data, training_examples
 from sparkprep.plans.staging import stage, staging_path
-from sparkprep.sources import files, jsonl, sinks
+from sparkprep.sources import files, jsonl, publish, sinks
 from sparkprep.streaming import chunks as chunk_streams, late, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,14 +46,23 @@ def stamp(column: str) -> Column:
 
 @query
 def published_files(i: Inputs) -> DataFrame:
-    """Documents written as files, copied to another place, and scanned there."""
+    """Documents written as files, published to another place, and scanned there."""
     first, second = staging_path(i.spark, "files"), staging_path(i.spark, "published")
     sinks.write_files(i.files(), first)
-    sinks.publish_files(i.spark, first, second, "*.pdf", recursive=True)
-    found = files.scan_files(i.spark, second, "*.pdf", recursive=True)
+    publish.publish_files(i.spark, first, second, "*.pdf", recursive=True)
+    found = files.scan_files(i.spark, second, "*.pdf", recursive=True, empty=True)
     return found.select(F.regexp_extract("path", "/corpus/.*", 0).alias("path"), "length", F.md5("content").alias("content_md5"))
 
 
+@query
+def publish_manifest(i: Inputs) -> DataFrame:
+    """What the manifest says of the files that were published."""
+    first, second = staging_path(i.spark, "files"), staging_path(i.spark, "published")
+    sinks.write_files(i.files(), first)
+    publish.publish_files(i.spark, first, second, "*.pdf", recursive=True)
+    return publish.published(i.spark, second).select(F.concat(F.lit("/"), "path").alias("path"), "length", "md5")
+
+
 @query
 def chunk_table(i: Inputs) -> DataFrame:
     path = staging_path(i.spark, "chunks")

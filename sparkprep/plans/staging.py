@@ -103,6 +103,15 @@ def delete(spark: SparkSession, path: str) -> None:
     _STAGED.pop(path, None)
 
 
+def rename(spark: SparkSession, path: str, target: str) -> None:
+    """Give a folder another name, in one step where the file system can; folders above it are made."""
+    hadoop, system = _file_system(spark, path)
+    place, _ = _file_system(spark, target)
+    system.mkdirs(place.getParent())
+    if not system.rename(hadoop, place):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
 def _clear() -> None:
     for path, spark in list(_STAGED.items()):
         if spark.sparkContext._jsc is not None:

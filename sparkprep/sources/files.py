@@ -6,18 +6,26 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sparkprep.operators.chunking import clean_chunks
+from sparkprep.sources.listing import list_files
 
 
 def scan_files(
-    spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = False
+    spark: SparkSession, path: str, pattern: str = "*.pdf", recursive: bool = False, empty: bool = False
 ) -> DataFrame:
-    """``path, modificationTime, length, content``; contents are read only if selected."""
-    return (
+    """``path, modificationTime, length, content``; contents are read only if selected.
+
+    Spark's scan leaves files of length 0 out; with ``empty`` a listing adds them.
+    """
+    found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", str(recursive).lower())
         .load(path)
     )
+    if not empty:
+        return found
+    others = list_files(spark, path, pattern, recursive).filter("length = 0")
+    return found.unionByName(others.withColumn("content", F.lit(b"")))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import logging
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.operators.chunking import render_chunks
 from sparkprep.sources.files import scan_files
+from sparkprep.sources.listing import system_of
 
 logger = logging.getLogger(__name__)
 
@@ -64,35 +63,23 @@ def write_files(files: DataFrame, target: str) -> int:
 
     ``path`` is relative to the target. The tasks write through Arrow's file systems, which
     reach local and shared folders and the common object stores. A task that runs again
-    replaces its files. Rows without path or content are left out.
+    replaces its files. Without content a file is empty; rows without path are left out.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        local = target.startswith("file:")
-        system, base = fs.FileSystem.from_uri("/" + target[5:].lstrip("/") if local else target)
+        system, base = system_of(target)
         for batch in batches:
             for path, content in zip(*(c.to_pylist() for c in batch.columns)):
                 place = f"{base}/{path.lstrip('/')}"
                 system.create_dir(place.rpartition("/")[0], recursive=True)
                 with system.open_output_stream(place) as out:
-                    out.write(content)
+                    out.write(content or b"")
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
 
-    rows = files.select("path", F.col("content").cast("binary").alias("content")).dropna()
+    rows = files.select("path", F.col("content").cast("binary").alias("content")).filter("path IS NOT NULL")
     return rows.mapInArrow(write, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def publish_files(spark: SparkSession, source: str, target: str, pattern: str = "*", recursive: bool = False) -> int:
-    """Copy matching files, text or binary, to another store under their names and folders.
-
-    Spark's file scan leaves out empty files, and so does this.
-    """
-    found = scan_files(spark, source, pattern, recursive).select("path", "content")
-    root = re.sub("^[a-z0-9]+:/*", "/", source).rstrip("/") + "/"
-    relative = F.substring_index(F.col("path"), root, -1)
-    return write_files(found.withColumn("path", relative), target)
-
-
 def manifest(
     spark: SparkSession, path: str, key: str = "split", pattern: str = "part-*"
 ) -> DataFrame:

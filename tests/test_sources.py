@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkprep.operators import scoring
 from sparkprep.operators.structure import document_structure, pages_of
-from sparkprep.sources import files, jsonl, logs, sinks
+from sparkprep.sources import files, jsonl, logs, publish, sinks
 
 
 def test_jsonl_reading(spark, tmp_path):
@@ -103,14 +104,52 @@ def test_sinks(spark, tmp_path):
 def test_files_keep_names_folders_and_bytes(spark, tmp_path):
     contents = {"a/one.bin": bytes(range(256)), "a/b/two.txt": "é\n".encode(), "three.bin": b"3"}
     rows = spark.createDataFrame([*contents.items(), ("null.bin", None), (None, b"x")], "path string, content binary")
-    assert sinks.write_files(rows, f"file:{tmp_path}/in") == 3
-    assert sinks.publish_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), "*.bin", recursive=True) == 2
-    assert sinks.publish_files(spark, f"file://{tmp_path}/in/a", str(tmp_path / "flat")) == 1
-    read = lambda folder: {str(f.relative_to(tmp_path / folder)): f.read_bytes() for f in (tmp_path / folder).rglob("*") if f.is_file()}
+    assert sinks.write_files(rows, f"file:{tmp_path}/in") == 4
+    contents["null.bin"] = b""
+    assert publish.publish_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), "*.bin", recursive=True) == 3
+    assert publish.publish_files(spark, f"file://{tmp_path}/in/a", str(tmp_path / "flat")) == 1
+    shown = lambda f: f.is_file() and "/_" not in str(f) and "/." not in str(f)
+    read = lambda folder: {str(f.relative_to(tmp_path / folder)): f.read_bytes() for f in (tmp_path / folder).rglob("*") if shown(f)}
     assert read("in") == contents and read("out") == {k: v for k, v in contents.items() if k.endswith("bin")}
     assert read("flat") == {"one.bin": contents["a/one.bin"]}
 
 
+def test_a_run_is_shown_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    contents = {f"d{i % 3}/{'e/' * (i % 2)}f{i}.txt": b"x" * i for i in range(12)}
+    sinks.write_files(spark.createDataFrame([*contents.items()], "path string, content binary"), str(tmp_path / "in"))
+    for spoil in (lambda size, md5: (size, "0" * 32), lambda size, md5: (size + 1, md5)):
+
+        def wrong(root, relative, copy=None, right=publish._digest, spoil=spoil):
+            found = right(root, relative, copy)
+            return spoil(*found) if copy is None and relative.endswith("f7.txt") else found
+
+        with monkeypatch.context() as patch:
+            patch.setattr(publish, "_digest", wrong)
+            with pytest.raises(publish.PublishError, match="f7.txt"):
+                publish.publish_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), recursive=True)
+        assert not [f for f in (tmp_path / "out").rglob("*") if f.is_file()]
+    assert publish.publish_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), recursive=True) == 12
+    rows = publish.published(spark, str(tmp_path / "out")).collect()
+    assert {(r.path, r.length, r.md5) for r in rows} == {(p, len(c), hashlib.md5(c).hexdigest()) for p, c in contents.items()}
+    assert {f.name for f in (tmp_path / "out").iterdir()} == {"d0", "d1", "d2", "_manifests"}
+    found = files.scan_files(spark, str(tmp_path / "out"), "*.txt", recursive=True, empty=True)
+    assert {r.path.split("/out/")[1]: bytes(r.content) for r in found.collect()} == contents
+    listed = files.list_files(spark, str(tmp_path / "out"), "f1*")
+    assert listed.count() == 0 and files.list_files(spark, str(tmp_path / "out" / "d1"), "f1*").count() == 1
+    assert files.list_files(spark, f"file://{tmp_path}/out", "f1*", recursive=True).count() == 3
+
+
+@pytest.mark.parametrize("name", ["published_files", "publish_manifest"])
+def test_empty_and_null_documents_are_published(spark, tmp_path, name):
+    from check_oracle import compare, connect
+
+    rows = [(1, "", "s"), (2, None, "s"), (3, "text é", None), (4, "x", "t"), (5, "", "t")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.parquet(str(tmp_path / "documents"))
+    file = next((tmp_path / "documents").glob("part-*"))
+    file.rename(tmp_path / "documents.parquet")
+    assert compare(spark, connect(str(tmp_path)), str(tmp_path), name) == ""
+
+
 def test_parser_failures_are_set_aside(spark):
     def load():
         def parse(content):
