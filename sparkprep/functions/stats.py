@@ -44,6 +44,15 @@ def exact_median(df: DataFrame, value: str, groups: list[str] | None = None) ->
     ends = data.groupBy(*groups).agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     ranks = F.array(F.floor((F.col("n") + 1) / 2), F.floor(F.col("n") / 2) + 1)
     ranges = ends.filter("n > 0").select(*groups, F.posexplode(ranks).alias("side", "rank"), "low", "high")
+    return select_ranks(data, ranges, groups)
+
+
+def select_ranks(data: DataFrame, ranges: DataFrame, groups: list[str]) -> DataFrame:
+    """``groups, median``: the mean of the values ``v`` of ``data`` at the ranks of a group's ``ranges``.
+
+    A range is ``groups, side, rank, low, high``: the value wanted is the one of that rank among
+    those from ``low`` to ``high``.
+    """
     ranges = stage(ranges, "median-ranges")
     while ranges.filter("NOT low <=> high").limit(1).count():
         narrowed = stage(_narrowed(data, ranges, groups), "median-ranges")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sparkprep.operators.dataset import content_key
-from sparkprep.plans.staging import delete
+from sparkprep.plans.staging import delete, folder_names
 
 RUN = "content_key string, count bigint, from_version bigint, to_version bigint"
 CONTENT = ("input_text", "output_text")
@@ -45,9 +45,7 @@ def extend(history: str, data: DataFrame, version: int, before: int | None = Non
 
 def _versions(spark: SparkSession, history: str) -> list[int]:
     """The versions whose open runs are kept."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{history}/open")
-    entries = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(hadoop)
-    return sorted(int(e.getPath().getName().removeprefix("version=")) for e in entries)
+    return sorted(int(name.removeprefix("version=")) for name in folder_names(spark, f"{history}/open"))
 
 
 def runs(spark: SparkSession, history: str) -> DataFrame:

@@ -873,7 +873,7 @@ ORACLE: dict[str, str] = {
     ),
     "stream_kept_and_late": _with(
         f"""SELECT {_ts('window_start')} AS window_start, {_ts('window_end')} AS window_end, endpoint_id, status, count(*) FILTER (WHERE NOT is_late) AS prediction_count,
-          round(avg(latency) FILTER (WHERE NOT is_late), 6) AS mean, round(min(latency) FILTER (WHERE NOT is_late), 6) AS min,
+          round(sum(latency) FILTER (WHERE NOT is_late), 6) AS total, round(min(latency) FILTER (WHERE NOT is_late), 6) AS min,
           round(max(latency) FILTER (WHERE NOT is_late), 6) AS max, count(*) FILTER (WHERE is_late) AS late
         FROM judged GROUP BY ALL""",
         _ARRIVALS,
@@ -919,3 +919,15 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["chunk_sections_asof"] = ORACLE["chunk_sections"].replace("SELECT filled.doc_id, chunk_index,", "SELECT filled.doc_id, chunk_index, filled.page_no,", 1)
+ORACLE["prediction_metrics_states"] = ORACLE["prediction_metrics"]
+ORACLE["feedback_metrics_states"] = ORACLE["feedback_metrics"]
+ORACLE["request_latency"] = "SELECT event_id, round(floor(value * 1000000) / 1000000, 6) AS latency FROM events"
+ORACLE["read_log"] = _with(
+    f"SELECT event_id, {_ts('ts')} AS ts, endpoint_id, status, round(latency, 6) AS latency FROM log WHERE ts BETWEEN {START} AND {END}", _LOG
+)
+ORACLE["distinct_inputs"] = _with(
+    """SELECT u.splits, count(*) AS rows, count(DISTINCT input_text) AS distinct_inputs, 1::INTEGER AS within_error
+    FROM splits JOIN (SELECT unnest(['train', 'val', 'test', 'train+val', 'train+test', 'val+test', 'train+val+test']) AS splits) u
+      ON list_contains(string_split(u.splits, '+'), splits.split) GROUP BY u.splits""",
+    _PREPARE,
+)

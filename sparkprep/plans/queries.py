@@ -13,11 +13,11 @@ from sparkprep.functions.overlap import cosine
 from sparkprep.functions.hashing import pick, row_key
 from sparkprep.functions.stats import basic_stats, round_doubles
 from sparkprep.operators import chunking, comparison, dataset, examples, metrics, monitoring
-from sparkprep.operators import quality, review, scoring, splitting, structure, trials, versions
+from sparkprep.operators import quality, review, scoring, sketches, splitting, states, structure, trials, versions
 from sparkprep.plans.inputs import MODELS, SEPARATOR, SHORT_LINE, Inputs
 from sparkprep.plans.prepare import prepare_training_data, training_examples
 from sparkprep.plans.staging import stage, staging_path
-from sparkprep.sources import files, jsonl, publish, sinks
+from sparkprep.sources import files, jsonl, logs, publish, sinks
 from sparkprep.streaming import chunks as chunk_streams, late, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -611,6 +611,20 @@ def diversity(i: Inputs) -> DataFrame:
     return dataset.diversity(_prepared(i).select("input_text", first_word))
 
 
+@query
+def distinct_inputs(i: Inputs) -> DataFrame:
+    """The exact number of different inputs of each union of splits, and whether the merged sketches come within their error."""
+    rows = _prepared(i).select("split", "input_text")
+    unions = [["train"], ["val"], ["test"], ["train", "val"], ["train", "test"], ["val", "test"], ["train", "val", "test"]]
+    names = F.explode(F.array(*(F.struct(F.lit("+".join(u)).alias("splits"), F.array(*map(F.lit, u)).alias("of")) for u in unions)))
+    pairs = i.spark.range(1).select(names.alias("u")).select("u.*").select("splits", F.explode("of").alias("split"))
+    stored = stage(sketches.distinct_sketches(rows, ["split"]), "sketches")
+    estimates = sketches.merged_counts(stored.join(F.broadcast(pairs), "split"), ["splits"])
+    exact = rows.join(F.broadcast(pairs), "split").groupBy("splits").agg(F.count_distinct("input_text").alias("distinct_inputs"))
+    near = F.abs(F.col("estimate") - F.col("distinct_inputs")) <= sketches.ERROR * F.col("distinct_inputs") + 1
+    return exact.join(estimates, "splits").select("splits", "rows", "distinct_inputs", near.cast("int").alias("within_error"))
+
+
 @query
 def relevance(i: Inputs) -> DataFrame:
     return dataset.relevance(_prepared(i)).select(*IDENTITY, "relevance")
@@ -688,6 +702,41 @@ def feedback_metrics(i: Inputs) -> DataFrame:
     return monitoring.feedback_metrics(i.feedback(), START, END)
 
 
+@query
+def prediction_metrics_states(i: Inputs) -> DataFrame:
+    """The same from states per day, written in two batches."""
+    path, log = staging_path(i.spark, "prediction-states"), i.log()
+    for batch in (0, 1):
+        states.write_states(log.filter(F.col("event_id") % 2 == batch), "latency", path, batch)
+    return states.metrics_from_states(i.spark, path, "prediction", START, END)
+
+
+@query
+def feedback_metrics_states(i: Inputs) -> DataFrame:
+    path = staging_path(i.spark, "feedback-states")
+    states.write_states(i.feedback(), "score", path)
+    return states.metrics_from_states(i.spark, path, "feedback", START, END)
+
+
+@query
+def request_latency(i: Inputs) -> DataFrame:
+    """The time between the start and the end of each request."""
+    start = F.col("ts").cast("timestamp")
+    end = F.timestamp_micros(F.unix_micros(start) + F.floor(F.col("value") * 1_000_000))
+    return i.events().select("event_id", monitoring.latency_seconds(start, end).alias("latency"))
+
+
+@query
+def read_log(i: Inputs) -> DataFrame:
+    """A range of a log table that was appended to twice and compacted once."""
+    path, log = staging_path(i.spark, "log"), i.log().select("event_id", "ts", "endpoint_id", "status", "latency")
+    logs.append_log(log.filter("event_id % 3 = 0").repartition(4), path)
+    logs.append_log(log.filter("event_id % 3 = 1").repartition(4), path)
+    logs.compact_log(i.spark, path)
+    logs.append_log(log.filter("event_id % 3 = 2"), path)
+    return _stamped(logs.read_log(i.spark, path, "event_id bigint, ts timestamp, endpoint_id string, status string, latency double", START, END))
+
+
 @query
 def time_range(i: Inputs) -> DataFrame:
     chosen = monitoring.between(i.log(), START, END, inclusive_end=False)
@@ -866,7 +915,7 @@ def stream_late_rows(i: Inputs) -> DataFrame:
 @query
 def stream_kept_and_late(i: Inputs) -> DataFrame:
     """All windows: what was counted in time, and how many rows came too late."""
-    return _stamped(late.window_totals(i.spark, _late(i)))
+    return _stamped(late.window_totals(i.spark, _late(i)).drop("mean"))
 
 
 @query

@@ -112,6 +112,29 @@ def rename(spark: SparkSession, path: str, target: str) -> None:
         raise OSError(f"{path} could not be renamed to {target}")
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what lies in a folder; none if it does not exist."""
+    hadoop, system = _file_system(spark, path)
+    return [e.getPath().getName() for e in system.listStatus(hadoop)] if system.exists(hadoop) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file."""
+    hadoop, system = _file_system(spark, path)
+    out = system.create(hadoop, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Read a small file."""
+    hadoop, system = _file_system(spark, path)
+    stream = system.open(hadoop)
+    text = bytes(stream.readAllBytes()).decode()
+    stream.close()
+    return text
+
+
 def _clear() -> None:
     for path, spark in list(_STAGED.items()):
         if spark.sparkContext._jsc is not None:

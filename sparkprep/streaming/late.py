@@ -94,7 +94,7 @@ def progress(spark: SparkSession, path: str) -> DataFrame:
 
 
 def window_totals(spark: SparkSession, path: str) -> DataFrame:
-    """``window_start, window_end, endpoint_id, status, prediction_count, mean, min, max, late`` of each window.
+    """``window_start, window_end, endpoint_id, status, prediction_count, total, mean, min, max, late`` of each window.
 
     The states of all batches merged, and the number of rows that came too late for the window; a
     window that has late rows only counts 0 predictions. The counts and ``late`` of all windows, and the
@@ -104,11 +104,12 @@ def window_totals(spark: SparkSession, path: str) -> DataFrame:
     missed = late_rows(spark, path).filter("window_start IS NOT NULL").groupBy(*KEYS).agg(F.count(F.lit(1)).alias("late"))
     own = states.groupBy(*KEYS).agg(
         F.sum("entries").alias("prediction_count"),
+        F.sum("latency_sum").alias("total"),
         F.try_divide(F.sum("latency_sum"), F.sum("measured")).alias("mean"),
         F.min("latency_min").alias("min"),
         F.max("latency_max").alias("max"),
         F.lit(0).cast("bigint").alias("late"),
     )
-    nothing = [F.lit(0).cast("bigint").alias("prediction_count"), *(F.lit(None).cast("double").alias(c) for c in ("mean", "min", "max"))]
+    nothing = [F.lit(0).cast("bigint").alias("prediction_count"), *(F.lit(None).cast("double").alias(c) for c in ("total", "mean", "min", "max"))]
     both = own.unionByName(missed.select(*KEYS, *nothing, "late"))
-    return both.groupBy(*KEYS).agg(*(F.max(c).alias(c) for c in ("prediction_count", "mean", "min", "max", "late")))
+    return both.groupBy(*KEYS).agg(*(F.max(c).alias(c) for c in ("prediction_count", "total", "mean", "min", "max", "late")))

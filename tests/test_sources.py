@@ -205,3 +205,39 @@ def test_log_table_prunes_days(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan and "PushedFilters: [IsNotNull(ts)" in plan
     arriving = logs.stream_log(spark, path, schema)
     assert arriving.isStreaming and arriving.columns == ["event_id", "ts"]
+
+
+def test_compaction_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "log"), "event_id bigint, ts timestamp, endpoint_id string"
+    log = spark.range(900).select(
+        F.col("id").alias("event_id"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(mins=F.col("id").cast("int") * 4)).alias("ts"),
+        F.concat(F.lit("e"), F.col("id") % 7).alias("endpoint_id"),
+    )
+    assert logs.read_log(spark, path, schema).count() == 0 and logs.compact_log(spark, path) == []
+    for part in range(3):
+        logs.append_log(log.filter(F.col("event_id") % 3 == part).repartition(5), path)
+    want = sorted(map(tuple, log.collect()))
+    read = lambda: sorted(map(tuple, logs.read_log(spark, path, schema).collect()))
+    before = logs.read_log(spark, path, schema)
+    with monkeypatch.context() as patch:
+        patch.setattr(logs, "_change", lambda *_: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            logs.compact_log(spark, path)
+    assert read() == want
+    old = logs.compact_log(spark, path)
+    assert len(old) == 3 and read() == want and sorted(map(tuple, before.collect())) == want
+    logs.append_log(log.limit(1), path)
+    logs.drop_folders(spark, path, [*old, *logs._live(spark, path)[1]])
+    assert len(read()) == 901
+    files_of = [r.path for r in files.list_files(spark, path, "*.parquet", recursive=True).collect() if "/compact-" in r.path]
+    live = logs._live(spark, path)[1][0]
+    assert 3 <= len([f for f in files_of if live in f]) < 30
+    for file in files_of:
+        rows = spark.read.parquet(file).select("endpoint_id", "ts").collect()
+        assert rows == sorted(rows)
+    with pytest.raises(RuntimeError):
+        logs._change(spark, path, logs._live(spark, path)[0], [])
+    query = logs.stream_log(spark, path, schema).writeStream.format("memory").queryName("appended").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("appended").count() == 1
