@@ -33,24 +33,35 @@ def ngrams(token_list: Column, n: int | Column) -> Column:
     )
 
 
+def ngram_hashes(token_list: Column, n: Column) -> Column:
+    """A 64-bit hash of each n-gram in order; numbers are compared and sorted without building texts.
+
+    Two n-grams of a row have one hash with a probability below its number of pairs of n-grams over 2^64.
+    """
+    places = F.sequence(F.lit(1), F.size(token_list) - n + 1)
+    grams = F.transform(places, lambda i: F.xxhash64(F.slice(token_list, i, n)))
+    return F.when(F.size(token_list) >= n, grams).otherwise(F.array().cast("array<bigint>"))
+
+
 def ngram_overlaps(left: Column, right: Column, top: int) -> Column:
     """``array<int>``: the clipped overlap of the n-grams for n = 1 to ``top``."""
 
-    def overlap(n: Column) -> Column:
-        sides = F.struct(ngrams(left, n).alias("l"), ngrams(right, n).alias("r"))
-        return bind(sides, lambda s: clipped_overlap(s["l"], s["r"]))
+    def overlap(tokens: Column, n: Column) -> Column:
+        sides = F.struct(ngram_hashes(tokens["l"], n).alias("l"), ngram_hashes(tokens["r"], n).alias("r"))
+        return bind(sides, lambda s: clipped_overlap(s["l"], s["r"], "bigint"))
 
-    return F.transform(F.sequence(F.lit(1), F.lit(top)), overlap)
+    both = F.struct(left.alias("l"), right.alias("r"))
+    return bind(both, lambda tokens: F.transform(F.sequence(F.lit(1), F.lit(top)), lambda n: overlap(tokens, n)))
 
 
-def clipped_overlap(left: Column, right: Column) -> Column:
-    """Size of the multiset intersection of two string arrays.
+def clipped_overlap(left: Column, right: Column, kind: str = "string") -> Column:
+    """Size of the multiset intersection of two arrays of strings, or of ``kind``.
 
-    The intersection of the distinct strings counts each shared one once. What occurs
+    The intersection of the distinct elements counts each shared one once. What occurs
     again, usually a small part, is intersected as multisets.
     """
     return F.size(F.array_intersect(left, right)) + _repeats_in_common(
-        _repeats(left), _repeats(right)
+        _repeats(left), _repeats(right), kind
     )
 
 
@@ -61,7 +72,7 @@ def _repeats(items: Column) -> Column:
     )
 
 
-def _repeats_in_common(left: Column, right: Column) -> Column:
+def _repeats_in_common(left: Column, right: Column, kind: str) -> Column:
     """Both sides are tagged, sorted together and read once.
 
     Equal strings stand next to each other; each run adds the smaller of its counts.
@@ -84,7 +95,7 @@ def _repeats_in_common(left: Column, right: Column) -> Column:
 
     return F.aggregate(
         F.sort_array(F.concat(tagged(left, 1, 0), tagged(right, 0, 1))),
-        state(F.lit(None).cast("string"), F.lit(0), F.lit(0), F.lit(0)),
+        state(F.lit(None).cast(kind), F.lit(0), F.lit(0), F.lit(0)),
         step,
         lambda run: run["hits"] + F.least(run["l"], run["r"]),
     )

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from sparkprep.functions.text import words
+from sparkprep.functions.text import keywords
 
 PAGE_TYPE = "array<struct<page_no:int,text:string>>"
 
@@ -98,8 +98,11 @@ def pad_tokens(rows: DataFrame, tokens: str, max_length: int, padding) -> DataFr
 def token_budget(
     texts: DataFrame, max_length: int, text: str = "text", padding: str = "<pad>"
 ) -> DataFrame:
-    """White-space tokens of each text, cut and padded; see :func:`pad_tokens`."""
-    cut = F.slice(words(F.col(text)), 1, max_length)
+    """White-space tokens of each text, cut and padded; see :func:`pad_tokens`.
+
+    A text is read up to its last token that counts.
+    """
+    cut = F.array_remove(F.split(keywords(F.col(text), max_length), " "), "")
     return pad_tokens(texts.withColumn("_tokens", cut), "_tokens", max_length, padding)
 
 
