@@ -931,3 +931,4 @@ ORACLE["distinct_inputs"] = _with(
       ON list_contains(string_split(u.splits, '+'), splits.split) GROUP BY u.splits""",
     _PREPARE,
 )
+ORACLE["quality_report_parsed"] = ORACLE["quality_report_rows"]

@@ -11,7 +11,7 @@ from sparkprep.functions import text as T
 from sparkprep.functions.chunks import paragraphs
 from sparkprep.functions.overlap import cosine
 from sparkprep.functions.hashing import pick, row_key
-from sparkprep.functions.stats import basic_stats, round_doubles
+from sparkprep.functions.stats import MEASURES, basic_stats, round_doubles
 from sparkprep.operators import chunking, comparison, dataset, examples, metrics, monitoring
 from sparkprep.operators import quality, review, scoring, sketches, splitting, states, structure, trials, versions
 from sparkprep.plans.inputs import MODELS, SEPARATOR, SHORT_LINE, Inputs
@@ -434,6 +434,19 @@ def quality_report(i: Inputs) -> DataFrame:
     return quality.quality_report(_prepared(i))
 
 
+@query
+def quality_report_parsed(i: Inputs) -> DataFrame:
+    """The report's JSON document, read back as rows."""
+    measures = ", ".join(f"{m} double" for m in MEASURES)
+    names = list(quality.RATING_THRESHOLDS)
+    schema = f"stats array<struct<split string, field string, {measures}>>, metrics struct<{', '.join(f'{n}: double' for n in names)}>"
+    report = stage(quality.quality_report(_prepared(i)), "report").select(F.from_json("report", schema).alias("r"))
+    lengths = report.select(F.inline("r.stats")).withColumn("name", F.concat_ws("/", "split", "field")).withColumn("section", F.lit("stats"))
+    lengths = lengths.unpivot(["section", "name"], list(MEASURES), "measure", "value")
+    metrics = report.select(F.lit("metrics").alias("section"), "r.metrics.*").unpivot("section", names, "name", "value")
+    return lengths.unionByName(metrics.withColumn("measure", F.lit("value")))
+
+
 @query
 def quality_report_rows(i: Inputs) -> DataFrame:
     return quality.quality_report_rows(stage(quality.length_stats(_prepared(i)), "length-stats"))
