@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from sparkprep.llm.batches import SPACE, mix, slices, utf8, word_ids, words
@@ -71,13 +72,11 @@ class Texts:
         found = np.bincount(owner * (CLASSES + 1) + CLASS[self.raw], minlength=self.rows * (CLASSES + 1))
         return found.reshape(self.rows, CLASSES + 1)[:, :CLASSES]
 
-    def plain(self) -> list[str | None]:
-        """Each different word in lower case without marks at its ends; None if it is not made of letters alone, or long."""
-        found = []
-        for word in self.different.to_pylist():
-            text = word.decode().strip(EDGES).lower() if len(word) <= WORD_BYTES else ""
-            found.append(text if text.isalpha() else None)
-        return found
+    def plain(self) -> pa.Array:
+        """Each different word in lower case without marks at its ends; null if it is not made of letters alone, or long."""
+        short = pc.less_equal(pc.binary_length(self.different), WORD_BYTES)
+        text = pc.utf8_lower(pc.utf8_trim(self.different.cast(pa.large_string()), characters=EDGES))
+        return pc.if_else(pc.and_(short, pc.utf8_is_alpha(text)), text, None)
 
     def repeated_lines(self) -> np.ndarray:
         """Lines with a word that equal an earlier line of their text."""
@@ -147,39 +146,47 @@ def _count_parts(documents: DataFrame) -> DataFrame:
     sums = [f"n{i}" for i in range(PARTS)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: dict[tuple[str, str, str], int] = {}
-        held = np.zeros((HELD * 2, PARTS), np.int64)
+        places: dict[str, dict[str, int]] = {}  # by language, the row of each word in ``held``; marks begin the names of other counts
+        held, used = np.zeros((HELD * 2, PARTS), np.int64), 0
+
+        def row(own: dict[str, int], name: str) -> int:
+            nonlocal used
+            found = own.get(name)
+            if found is None:
+                found = own[name] = used
+                used += 1
+            return found
 
         def flush() -> pa.RecordBatch:
-            columns = [pa.array(c, pa.string()) for c in zip(*keys)]
-            columns += [pa.array(np.ascontiguousarray(held[: len(keys), i])) for i in range(PARTS)]
+            rows = [(number, lang, name) for lang, own in places.items() for name, number in own.items()]
+            order = np.array([r[0] for r in rows])
+            kinds = [{"#": "words", "$": "class"}.get(r[2][0], "word") for r in rows]
+            columns = [pa.array([r[1] for r in rows]), pa.array(kinds), pa.array([r[2].strip("#$") for r in rows])]
+            columns += [pa.array(held[order, i]) for i in range(PARTS)]
             return pa.RecordBatch.from_arrays(columns, ["lang", "kind", "name", *sums])
 
         for batch in slices(batches):
             texts = Texts(*utf8(batch.column("text")))
-            langs, part = batch.column("lang").to_pylist(), batch.column("part").to_numpy()
-            names = sorted(set(langs))
-            lang = np.array([names.index(x) for x in langs])
-            classes, plain = texts.classes(), texts.plain()
-            wanted = np.array([x is not None for x in plain], bool)
-            chosen = wanted[texts.ids] if len(wanted) else np.zeros(0, bool)
-            code = lang[texts.doc[chosen]] * len(plain) + texts.ids[chosen]
-            different, inverse = np.unique(code, return_inverse=True)
-            if len(keys) + len(different) + len(names) * (CLASSES + 1) > len(held):
-                yield flush()
-                keys.clear()
-                held[:] = 0
-                if len(different) + len(names) * (CLASSES + 1) > len(held):
-                    held = np.zeros((2 * len(different) + len(names) * (CLASSES + 1), PARTS), np.int64)
-            own = [(names[c // len(plain)], "word", plain[c % len(plain)]) for c in different.tolist()]
-            rows = np.array([keys.setdefault(k, len(keys)) for k in own], np.int64)
-            np.add.at(held, (rows[inverse], part[texts.doc[chosen]]), 1)
-            for at, name in enumerate(names):
-                mine = np.flatnonzero(lang == at)
-                np.add.at(held[keys.setdefault((name, "words", ""), len(keys))], part[mine], texts.n_words[mine])
+            langs, part = np.array(batch.column("lang").to_pylist(), object), batch.column("part").to_numpy()
+            plain, classes = texts.plain().to_numpy(zero_copy_only=False), texts.classes()
+            names = sorted(set(langs.tolist()))
+            most = len(names) * (len(plain) + CLASSES + 1)
+            if used + most > len(held):
+                if used:
+                    yield flush()
+                places.clear()
+                held, used = np.zeros((max(HELD * 2, most), PARTS), np.int64), 0
+            usable = np.array([x is not None for x in plain], bool)[texts.ids]
+            for name in names:
+                own, mine = places.setdefault(name, {}), langs == name
+                chosen = usable & mine[texts.doc]
+                different, inverse = np.unique(texts.ids[chosen], return_inverse=True)
+                rows = np.array([row(own, word) for word in plain[different].tolist()], np.int64)
+                np.add.at(held, (rows[inverse], part[texts.doc[chosen]]), 1)
+                np.add.at(held[row(own, "#")], part[mine], texts.n_words[mine])
                 for c in range(CLASSES):
-                    np.add.at(held[keys.setdefault((name, "class", str(c)), len(keys))], part[mine], classes[mine, c])
-        if keys:
+                    np.add.at(held[row(own, f"${c}")], part[mine], classes[mine, c])
+        if used:
             yield flush()
 
     part = F.conv(F.substring(F.md5("text"), 1, 1), 16, 10).cast("int").alias("part")
@@ -233,11 +240,11 @@ def _reference(frequent: list[tuple[str, float]], classes: list[tuple[str, float
     return Reference(own / max(own.sum(), 1e-300), [word for word, _ in frequent], shares / max(shares.sum(), 1e-300))
 
 
-def distances(texts: Texts, reference: Reference, rows: np.ndarray, plain: list[str | None], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def distances(texts: Texts, reference: Reference, rows: np.ndarray, plain: pa.Array, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distances of the ``rows`` of a batch from a reference, by character classes and by common words."""
-    number = {word: i for i, word in enumerate(reference.words)}
     size = len(reference.shares)
-    kind = np.array([number.get(word, size - 1) for word in plain], np.int64)
+    number = pc.index_in(plain, value_set=pa.array(reference.words, plain.type), skip_nulls=True)
+    kind = number.fill_null(size - 1).to_numpy().astype(np.int64)
     place = np.full(texts.rows, -1)
     place[rows] = np.arange(len(rows))
     chosen = place[texts.doc] >= 0
