@@ -21,7 +21,9 @@ RATING_THRESHOLDS = {
 
 
 def with_lengths(examples: DataFrame) -> DataFrame:
-    """Text lengths of the rows that have both fields."""
+    """Text lengths of the rows that have both fields; rows that come with lengths stay as they are."""
+    if set(FIELDS) <= set(examples.columns):
+        return examples
     both = F.col("input_text").isNotNull() & F.col("output_text").isNotNull()
     return examples.filter(both).select(
         *(c for c in examples.columns if c not in ("input_text", "output_text")),

@@ -10,7 +10,7 @@ from sparkprep.operators.chunking import chunk_documents
 from sparkprep.operators.examples import example_lists, sample_chunk_lists
 from sparkprep.operators.monitoring import prediction_log
 from sparkprep.operators.structure import pages_of
-from sparkprep.plans.staging import is_folder, table
+from sparkprep.plans.staging import is_folder, stage, table
 
 # The documents have no blank lines; a line is a paragraph, and a page where pages matter.
 SEPARATOR = "\n"
@@ -24,6 +24,7 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, data_dir: str):
         self.spark, self.data_dir = spark, data_dir
+        self._turns: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return table(self.spark, self.data_dir, name)
@@ -62,6 +63,8 @@ class Inputs:
 
     def turns(self) -> DataFrame:
         """A user turn (``input``) and the assistant turn right after it (``output``)."""
+        if self._turns is not None:
+            return self._turns
         turns = self.table("conversations")
         user = turns.filter(F.col("role") == "user").select(
             "conv_id", "turn", F.col("text").alias("input")
@@ -73,6 +76,10 @@ class Inputs:
         pairs = user.join(answer, keys)
         return pairs.select(F.concat_ws("-", "conv_id", "turn").alias("id"), "input", "output")
 
+    def hold_turns(self) -> None:
+        """Write the turns once, for a query that reads them several times."""
+        self._turns = stage(self.turns(), "turns")
+
     def outputs(self) -> DataFrame:
         """Turns with the outputs of two models: half of the words, and nine words in ten."""
         words = F.split("output", " ")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from sparkprep.functions.chunks import chunk_text
 from sparkprep.operators.examples import example_lists, is_valid
+from sparkprep.operators.quality import FIELDS, with_lengths
 from sparkprep.operators.splitting import split_exact
 from sparkprep.plans.staging import stage
 
@@ -43,3 +44,13 @@ def prepare_training_data(
     """
     examples = stage(training_examples(documents, seed=seed, **options), "examples")
     return split_exact(examples, ["doc_id", "chunk_index"], train_ratio, val_ratio, seed)
+
+
+def prepare_lengths(documents: DataFrame, train_ratio: float = 0.8, val_ratio: float = 0.1, seed: int = 0, **options) -> DataFrame:
+    """``doc_id, chunk_index, kind, input_length, output_length, split`` of the same training set, for statistics of lengths.
+
+    Texts are measured where they are made and never written.
+    """
+    measured = with_lengths(training_examples(documents, seed=seed, **options))
+    rows = stage(measured.select("doc_id", "chunk_index", "kind", *FIELDS), "example-lengths")
+    return split_exact(rows, ["doc_id", "chunk_index"], train_ratio, val_ratio, seed)

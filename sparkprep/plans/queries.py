@@ -15,7 +15,7 @@ from sparkprep.functions.stats import MEASURES, basic_stats, round_doubles
 from sparkprep.operators import chunking, comparison, dataset, examples, metrics, monitoring
 from sparkprep.operators import quality, review, scoring, sketches, splitting, states, structure, trials, versions
 from sparkprep.plans.inputs import MODELS, SEPARATOR, SHORT_LINE, Inputs
-from sparkprep.plans.prepare import prepare_training_data, training_examples
+from sparkprep.plans.prepare import prepare_lengths, prepare_training_data, training_examples
 from sparkprep.plans.staging import stage, staging_path
 from sparkprep.sources import files, jsonl, logs, publish, sinks
 from sparkprep.streaming import chunks as chunk_streams, late, monitor
@@ -165,6 +165,10 @@ def _prepared(i: Inputs) -> DataFrame:
     return prepare_training_data(i.documents(), separator=SEPARATOR)
 
 
+def _measured(i: Inputs) -> DataFrame:
+    return prepare_lengths(i.documents(), separator=SEPARATOR)
+
+
 @query
 def read_splits(i: Inputs) -> DataFrame:
     path = staging_path(i.spark, "splits")
@@ -404,7 +408,7 @@ def review_sample(i: Inputs) -> DataFrame:
 
 @query
 def length_stats(i: Inputs) -> DataFrame:
-    return quality.length_stats(_prepared(i))
+    return quality.length_stats(_measured(i))
 
 
 @query
@@ -415,23 +419,23 @@ def _basic_stats(i: Inputs) -> DataFrame:
 
 @query
 def length_pivot(i: Inputs) -> DataFrame:
-    return quality.length_pivot(quality.length_stats(_prepared(i)))
+    return quality.length_pivot(quality.length_stats(_measured(i)))
 
 
 @query
 def quality_metrics(i: Inputs) -> DataFrame:
-    return quality.quality_metrics(quality.length_stats(_prepared(i)))
+    return quality.quality_metrics(quality.length_stats(_measured(i)))
 
 
 @query
 def quality_ratings(i: Inputs) -> DataFrame:
-    measured = quality.quality_metrics(quality.length_stats(_prepared(i)))
+    measured = quality.quality_metrics(quality.length_stats(_measured(i)))
     return quality.quality_ratings(measured)
 
 
 @query
 def quality_report(i: Inputs) -> DataFrame:
-    return quality.quality_report(_prepared(i))
+    return quality.quality_report(_measured(i))
 
 
 @query
@@ -440,7 +444,7 @@ def quality_report_parsed(i: Inputs) -> DataFrame:
     measures = ", ".join(f"{m} double" for m in MEASURES)
     names = list(quality.RATING_THRESHOLDS)
     schema = f"stats array<struct<split string, field string, {measures}>>, metrics struct<{', '.join(f'{n}: double' for n in names)}>"
-    report = stage(quality.quality_report(_prepared(i)), "report").select(F.from_json("report", schema).alias("r"))
+    report = stage(quality.quality_report(_measured(i)), "report").select(F.from_json("report", schema).alias("r"))
     lengths = report.select(F.inline("r.stats")).withColumn("name", F.concat_ws("/", "split", "field")).withColumn("section", F.lit("stats"))
     lengths = lengths.unpivot(["section", "name"], list(MEASURES), "measure", "value")
     metrics = report.select(F.lit("metrics").alias("section"), "r.metrics.*").unpivot("section", names, "name", "value")
@@ -449,12 +453,12 @@ def quality_report_parsed(i: Inputs) -> DataFrame:
 
 @query
 def quality_report_rows(i: Inputs) -> DataFrame:
-    return quality.quality_report_rows(stage(quality.length_stats(_prepared(i)), "length-stats"))
+    return quality.quality_report_rows(stage(quality.length_stats(_measured(i)), "length-stats"))
 
 
 @query
 def dataset_summary(i: Inputs) -> DataFrame:
-    return quality.dataset_summary(_prepared(i))
+    return quality.dataset_summary(_measured(i))
 
 
 # Metrics
@@ -574,6 +578,7 @@ def preferences(i: Inputs) -> DataFrame:
 
 @query
 def rating_violations(i: Inputs) -> DataFrame:
+    i.hold_turns()
     tasks = review.review_tasks(i.turns(), i.predictions(), MODELS)
     return review.rating_violations(i.evaluations(), tasks)
 
