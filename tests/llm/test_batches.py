@@ -19,6 +19,10 @@ def test_words_get_hashes_of_their_own():
     numbers, different = word_ids(raw, starts, ends)
     assert [different[i].as_py() for i in numbers.tolist()] == [raw[a:b].tobytes() for a, b in zip(starts, ends)]
     assert len(set(hashes.tolist())) == len(different) == 5
+    many = " ".join(dict.fromkeys(f"{'é' * (i % 9)}{i}" for i in range(20_000))) + " " + "z" * 9_000 + " " + "z" * 9_001 + " 00000000 0000000 000000000 00000000\x00"
+    raw, offsets = utf8(pa.array([many]))
+    starts, ends, _ = words(raw, offsets)
+    assert len(set(word_hashes(raw, starts, ends).tolist())) == len(many.encode().split()) == len(set(many.split(" ")))
     again = word_hashes(*(lambda r, o: (r, *words(r, o)[:2]))(*utf8(pa.array(["x"]))))
     assert again[0] == hashes[2] and (hashes[numbers == numbers[2]] == again[0]).all()
 
