@@ -241,3 +241,25 @@ def test_compaction_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
     query = logs.stream_log(spark, path, schema).writeStream.format("memory").queryName("appended").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("appended").count() == 1
+
+
+def test_files_are_read_by_as_many_tasks_whatever_their_number(spark, tmp_path):
+    contents = {f"s{i % 3}/f{i}.pdf": b"x" * (i % 5) for i in range(400)} | {f"s0/large{i}.pdf": bytes([i]) * 3_000_000 for i in range(5)}
+    sinks.write_files(spark.createDataFrame([*contents.items()], "path string, content binary"), str(tmp_path / "in"))
+    found = files.scan_files(spark, str(tmp_path / "in"), "*.pdf", recursive=True, empty=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and found.rdd.getNumPartitions() == 4
+    assert {r.path.split("/in/")[1]: (r.length, bytes(r.content)) for r in found.collect()} == {p: (len(c), c) for p, c in contents.items()}
+    assert "read(" not in found.select("path", "length")._jdf.queryExecution().executedPlan().toString()
+    assert "read(" in plan
+
+
+def test_scans_with_empty_files_see_what_other_scans_see(spark, tmp_path):
+    names = ["a.pdf", "b c%20#.pdf", "_k=v.pdf", "k=1/d.pdf", "_h.pdf", ".h.pdf", "_h/e.pdf", "x.pdf._COPYING_", "n.txt", "é/[f].pdf"]
+    sinks.write_files(spark.createDataFrame([(n, n.encode()) for n in names], "path string, content binary"), str(tmp_path / "in"))
+    columns = ["path", "modificationTime", "length", "content"]
+    for root in (f"{tmp_path}/in", f"file:{tmp_path}/in/", f"file://{tmp_path}/in"):
+        for pattern in ("*", "*.pdf", "{a,n}.{pdf,t{x,y}t}", "[^a]*.pdf", "?.pdf"):
+            plain, whole = (files.scan_files(spark, root, pattern, recursive=True, empty=empty) for empty in (False, True))
+            assert plain.columns == whole.columns == columns and plain.dtypes == whole.dtypes
+            assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, whole.collect()))
