@@ -1,6 +1,7 @@
 import numpy as np
 
 from sparkprep.llm import vectors
+from sparkprep.llm.graph import thinned
 from sparkprep.llm.vectors import near_duplicates, spherical_kmeans
 
 
@@ -76,3 +77,47 @@ def test_a_width_that_was_not_drawn_is_one_cell(spark, monkeypatch):
     points = np.array([[1.0, i / 10] for i in range(30)])
     want = reference(np.arange(30), np.ones(30), points)
     assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df).collect()} == want
+
+
+def test_vectors_near_to_all_cells_are_not_copied_for_each(spark, monkeypatch):
+    staged, write = {}, vectors.stage
+    monkeypatch.setattr(vectors, "stage", lambda df, label: staged.setdefault(label, write(df, label)))
+    draw = np.random.default_rng(8)
+    points = draw.normal(size=(1_500, 32)).astype(np.float32).astype(float)
+    points[:300] = points[300:600] * 2
+    ids, labels = draw.permutation(1_500), draw.integers(0, 2, 1_500)
+    rows = [(int(i), p.tolist(), int(l)) for i, p, l in zip(ids, points, labels)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)
+    monkeypatch.setattr(vectors, "unstage", lambda df: None, raising=False)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df, cell_size=5).collect()}
+    assert got == reference(ids, labels, points)
+    assert max(df.count() for df in staged.values()) <= len(rows)  # not a row for each of 300 cells
+
+
+def test_blocks_meet_in_small_batches_and_tiles(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "BLOCK", 37)
+    monkeypatch.setattr(vectors, "BLOCK_VALUES", 37 * 8)
+    monkeypatch.setattr(vectors, "TILE", 8)
+    monkeypatch.setattr(vectors, "BATCH_BYTES", 500)
+    draw = np.random.default_rng(12)
+    rows, want = [], {}
+    for width, count, first in ((4, 300, 0), (16, 200, 1000)):
+        points = draw.normal(size=(30, width))[draw.integers(0, 30, count)] + draw.normal(size=(count, width)) * 0.15
+        ids, labels = first + draw.permutation(count), draw.choice(["a", "b", ""], count, p=[0.8, 0.19, 0.01])
+        want |= reference(ids, labels, points)
+        rows += [(int(i), p.tolist(), str(l)) for i, p, l in zip(ids, points, labels)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string").repartition(3)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in near_duplicates(df, cell_size=20).collect()} == want
+
+
+def test_thinned_edges_connect_the_same():
+    draw = np.random.default_rng(2)
+    for count in (0, 1, 30, 90, 400):
+        a, b = draw.integers(0, 100, (2, count)) * 7
+        least = {i: i for i in {*a.tolist(), *b.tolist()}}
+        for _ in least:
+            for x, y in zip(a.tolist(), b.tolist()):
+                least[x] = least[y] = min(least[x], least[y])
+        x, y = thinned(a, b)
+        assert dict(zip(x.tolist(), y.tolist())) == {i: m for i, m in least.items() if i != m}
+        assert len(x) == len(set(x.tolist()))
