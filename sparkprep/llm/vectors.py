@@ -1,4 +1,4 @@
-"""Near-duplicate vectors: cells by spherical k-means, blocked cosine products within cells."""
+"""Near-duplicate vectors: cells by spherical k-means, blocked cosine products between near cells."""
 
 from __future__ import annotations
 
